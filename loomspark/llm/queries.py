@@ -14,6 +14,7 @@ from loomspark.llm.htmltext import html_text
 from loomspark.llm.linededup import line_dedup
 from loomspark.llm.sharding import shard_by_bytes
 from loomspark.llm.simhash import simhash_groups
+from loomspark.llm.suffixdedup import suffix_dedup
 from loomspark.llm.urlfilter import Rule, url_filter
 
 #: Where the public tokenizer files are; every executor must have them.
@@ -62,12 +63,16 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup(table(spark, sf_dir, "documents"), full=False)
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"), keep="max")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_bpe, op2_url_filter, op3_html_text, op4_simhash, op5_sharding, op6_line_dedup, op7_decontamination, op10_exact_dedup)
+    found = (op1_bpe, op2_url_filter, op3_html_text, op4_simhash, op5_sharding, op6_line_dedup, op7_decontamination, op8_suffix_dedup, op10_exact_dedup)
     return {f.__name__: f for f in found}
 
 
