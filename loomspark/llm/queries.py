@@ -15,6 +15,7 @@ from loomspark.llm.linededup import line_dedup
 from loomspark.llm.sharding import shard_by_bytes
 from loomspark.llm.simhash import simhash_groups
 from loomspark.llm.suffixdedup import suffix_dedup
+from loomspark.llm.toxicity import fit, toxicity_scores
 from loomspark.llm.urlfilter import Rule, url_filter
 
 #: Where the public tokenizer files are; every executor must have them.
@@ -67,12 +68,17 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup(table(spark, sf_dir, "documents"), full=False)
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity_scores(docs, fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"), keep="max")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_bpe, op2_url_filter, op3_html_text, op4_simhash, op5_sharding, op6_line_dedup, op7_decontamination, op8_suffix_dedup, op10_exact_dedup)
+    found = (op1_bpe, op2_url_filter, op3_html_text, op4_simhash, op5_sharding, op6_line_dedup, op7_decontamination, op8_suffix_dedup, op9_toxicity, op10_exact_dedup)
     return {f.__name__: f for f in found}
 
 
