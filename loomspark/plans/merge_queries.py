@@ -88,10 +88,10 @@ def union_first(spark, d):
     return m.union_first([c.where("part = 0"), c.where("part = 1")], ["url"], "ord")
 
 
-@query(f"SELECT DISTINCT url FROM ({C}) c WHERE score < 10 AND url NOT IN (SELECT url FROM ({C}) k WHERE score >= 40)")
+@query(f"SELECT DISTINCT url FROM ({C}) c WHERE score < 10 AND url NOT IN (SELECT url FROM ({C}) k WHERE score >= 50 AND company_id < 40)")
 def anti_known(spark, d):
     c = candidates(spark, d)
-    return m.except_known(c.where("score < 10"), c.where("score >= 40"), "url").select("url").distinct()
+    return m.except_known(c.where("score < 10"), c.where("score >= 50 AND company_id < 40"), "url").select("url").distinct()
 
 
 @query(f"SELECT company_id, host, ord FROM (SELECT company_id, host, ord, row_number() OVER (PARTITION BY company_id, host ORDER BY trust, ord) AS n FROM (SELECT company_id, ord, score % 4 AS trust, regexp_replace(lower(regexp_extract(url, '://([^/]*)', 1)), '^www\\.', '') AS host FROM ({C}) c) y) x WHERE n = 1")

@@ -81,7 +81,7 @@ employees, CASE WHEN company_id % 12 = 10 THEN NULL ELSE ceo END AS ceo, confide
 
 #: Ranked report candidates per company, from line items: url, text, score, arrival order.
 CANDIDATES = """
-SELECT o.o_custkey AS company_id, o.o_orderkey * 10 + l.l_linenumber AS ord,
+SELECT o.o_custkey AS company_id, (o.o_orderkey * 10 + l.l_linenumber) * 100000000 + l.l_partkey * 1000 + l.l_suppkey % 1000 AS ord,
   concat('https://', CASE WHEN l.l_suppkey % 4 = 0 THEN 'www.' ELSE '' END, 'ir', CAST(l.l_suppkey % 9 AS STRING), '.example.com/', CASE l.l_partkey % 6 WHEN 0 THEN 'annual-report-' WHEN 1 THEN 'press/q1-' WHEN 2 THEN 'governance-policy-' WHEN 3 THEN 'arsredovisning-'
     WHEN 4 THEN 'acquisition-' ELSE 'doc-' END, CAST(2018 + l.l_partkey % 9 AS STRING), CASE WHEN l.l_linenumber % 3 = 0 THEN '' ELSE '.pdf' END) AS url,
   CASE l.l_partkey % 6 WHEN 0 THEN 'Annual report' WHEN 1 THEN 'Press release Q1 interim' WHEN 2 THEN 'Corporate governance report' WHEN 3 THEN 'Annual and sustainability report' WHEN 4 THEN 'Acquisition presentation' ELSE 'Document' END AS text,
