@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import struct
 import unicodedata
 from collections.abc import Iterator
 
@@ -18,6 +19,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: No merge.
+NONE = 1 << 62
+
 _OUT = T.StructType(
     [
         T.StructField("doc_id", T.LongType()),
@@ -60,10 +64,12 @@ class ForcedBoundaryBpe:
         self.special = regex.compile("|".join(map(regex.escape, sorted(self.added, key=len, reverse=True)))) if self.added else None
         self.strings = {i: t for t, i in [*self.vocab.items(), *self.added.items()]}
         self.words = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
-        self.space = regex.compile(r"\p{White_Space}+")
-        self.symbols = _byte_symbols()
+        symbols = _byte_symbols()
+        self.inner = [self.vocab[c] for c in symbols]
+        self.last = [self.vocab[c + self.suffix] for c in symbols]
         pairs = (m if isinstance(m, list) else m.split(" ") for m in model["merges"])
-        self.ranks = {(self.vocab[a], self.vocab[b]): (rank, self.vocab[a + b]) for rank, (a, b) in enumerate(pairs)}
+        # Rank above, the merged token in the lower 24 bits.
+        self.merges = {(self.vocab[a], self.vocab[b]): rank << 24 | self.vocab[a + b] for rank, (a, b) in enumerate(pairs)}
         self.inside = self._pairs_inside()
         self.memo: dict[str, tuple[bytes, int, str]] = {}
 
@@ -85,38 +91,42 @@ class ForcedBoundaryBpe:
 
     def fragments(self, base: list[int]) -> list[list[int]]:
         """The word cut at its forced boundaries."""
-        out = [[base[0]]]
-        for a, b in zip(base, base[1:], strict=False):
-            if (a, b) in self.inside:
-                out[-1].append(b)
-            else:
-                out.append([b])
+        inside, start, out = self.inside, 0, []
+        for end, pair in enumerate(zip(base, base[1:], strict=False), 1):
+            if pair not in inside:
+                out.append(base[start:end])
+                start = end
+        out.append(base[start:])
         return out
 
     def _merge(self, ids: list[int]) -> list[int]:
-        ranks = self.ranks
-        while len(ids) > 1:
-            best = min(((ranks[p][0], i) for i, p in enumerate(zip(ids, ids[1:], strict=False)) if p in ranks), default=None)
-            if best is None:
-                break
-            i = best[1]
-            ids[i : i + 2] = [ranks[ids[i], ids[i + 1]][1]]
+        """Merge the pair of least rank, the leftmost first, until none is left. Only the neighbours of a merge get new ranks."""
+        get = self.merges.get
+        found = [get(p, NONE) for p in zip(ids, ids[1:], strict=False)]
+        while found and (least := min(found)) != NONE:
+            i = found.index(least)
+            new = ids[i] = least & 0xFFFFFF
+            del ids[i + 1], found[i]
+            if i:
+                found[i - 1] = get((ids[i - 1], new), NONE)
+            if i < len(found):
+                found[i] = get((new, ids[i + 1]), NONE)
         return ids
 
     def word(self, word: str) -> tuple[bytes, int, str]:
         """Identifiers as little-endian bytes, their number, and the decoded tokens."""
-        symbols = [self.symbols[b] for b in word.encode()]
-        symbols[-1] += self.suffix
-        ids = [i for part in self.fragments([self.vocab[s] for s in symbols]) for i in self._merge(part)]
+        data = word.encode()
+        base = [self.inner[b] for b in data]
+        base[-1] = self.last[data[-1]]
+        ids = [i for part in self.fragments(base) for i in self._merge(part)]
         if len(self.memo) >= self.MEMO:
             self.memo.clear()
-        found = self.memo[word] = np.array(ids, "<u4").tobytes(), len(ids), " ".join(self.strings[i] for i in ids)
+        found = self.memo[word] = struct.pack(f"<{len(ids)}I", *ids), len(ids), " ".join([self.strings[i] for i in ids])
         return found
 
     def _normal(self, text: str) -> str:
-        text = self.space.sub(" ", unicodedata.normalize("NFC", text))
-        # Lower case goes by characters: a final sigma is not special.
-        return text.replace("Σ", "σ").lower()
+        # White space only separates words, so it need not be made single. Lower case goes by characters: a final sigma is not special.
+        return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
 
     def _plain(self, text: str) -> list[tuple[bytes, int, str]]:
         get, word = self.memo.get, self.word
@@ -130,7 +140,7 @@ class ForcedBoundaryBpe:
         for m in self.special.finditer(text):
             out += self._plain(text[at : m.start()])
             i = self.added[m[0]]
-            out.append((np.array([i], "<u4").tobytes(), 1, m[0]))
+            out.append((struct.pack("<I", i), 1, m[0]))
             at = m.end()
         return out + self._plain(text[at:])
 
