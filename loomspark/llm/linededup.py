@@ -60,7 +60,8 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     marks = scratch.save(repeated_windows(docs, id_col, text_col, width), "marks").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), F.col("starts").alias("__starts"))
     text = F.col(text_col).cast("string")
     same = docs[id_col].cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64(F.coalesce(docs[text_col].cast("string"), F.lit(""))) == F.col("__hash"))
-    joined = docs.join(marks, same, "left")
+    # A sort-merge join at every size: texts are shuffled once, and nothing is broadcast that grows with the input.
+    joined = docs.join(marks.hint("merge"), same, "left")
     covered = F.array_sort(F.array_distinct(F.flatten(F.transform("__starts", lambda s: F.sequence(s, s + width - 1)))))
 
     def between(s: Column, j: Column) -> Column:
