@@ -40,6 +40,7 @@ CONTENT_NAMES = frozenset("article content main post story entry body text".spli
 _NAME = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 _SPACE = re.compile(r"\s+")
+_OPENING = re.compile(r"<[/!A-Za-z]")
 
 
 @dataclass
@@ -146,7 +147,10 @@ class _Page(HTMLParser):
 def page_lines(html: str | None) -> tuple[list[Line], set[int]]:
     """The lines of a page and the numbers of its article and main elements."""
     page = _Page()
-    page.feed(html or "")
+    html = html or ""
+    # A tag that the page's end cuts off is no text.
+    last = html.rfind("<", html.rfind(">") + 1)
+    page.feed(html[:last] if last >= 0 and _OPENING.match(html, last) else html)
     page.close()
     page._end_line()
     return page.lines, page.articles

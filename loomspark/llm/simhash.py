@@ -206,4 +206,4 @@ def simhash_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: s
     """The rows of ``docs``, with their columns, that stand for their group: those whose identifier is the component. Rows without identifier stay."""
     groups = simhash_groups(docs, id_col, text_col, shingle, budget)
     gone = groups.where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, docs[id_col].cast("long") == F.col("__gone"), "left_anti")
+    return docs.join(gone.hint("merge"), docs[id_col].cast("long") == F.col("__gone"), "left_anti")

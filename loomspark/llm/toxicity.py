@@ -87,24 +87,20 @@ class TextCnn:
         self.dense = r.normal(0, 0.3, len(self.widths) * self.filters).astype(np.float32)
         self.offset = np.zeros(1, np.float32)
 
-    def respond(self, features: np.ndarray, starts: np.ndarray, places: bool = False) -> tuple[np.ndarray, list[np.ndarray]]:
-        """The largest response of each filter in each segment, and where it is. ``features`` are rows of words with padding between segments, so that no
-        window spans two."""
+    def respond(self, features: np.ndarray, starts: np.ndarray, stops: np.ndarray, places: bool = False) -> tuple[np.ndarray, list[np.ndarray]]:
+        """The largest response of each filter over the windows that start in each segment, and where it is. ``features`` are rows of words with padding between
+        segments, so that no window spans two."""
         x = self.embedding[features].sum(axis=1)
         pooled, where = [], []
-        ends = np.append(starts[1:], len(x))
+        bounds = np.stack([starts, stops], axis=1).reshape(-1)
+        bounds = bounds[:-1] if bounds[-1] >= len(x) else bounds
         for w, kernel, bias in zip(self.widths, self.kernels, self.bias, strict=True):
             y = x @ kernel[0]
             for k in range(1, w):
                 y[:-k] += x[k:] @ kernel[k]
-            best = np.maximum.reduceat(y, starts, axis=0)
-            pooled.append(best + bias)
+            pooled.append(np.maximum.reduceat(y, bounds, axis=0)[::2] + bias)
             if places:
-                hit = y == np.repeat(best, ends - starts, axis=0)
-                row, column = np.nonzero(hit)
-                at = np.zeros((len(starts), self.filters), np.int64)
-                at[np.searchsorted(starts, row, "right")[::-1] - 1, column[::-1]] = row[::-1]
-                where.append(at)
+                where.append(np.stack([a + y[a:b].argmax(axis=0) for a, b in zip(starts, stops, strict=True)]))
         return np.maximum(np.concatenate(pooled, axis=1), 0), where
 
     def logits(self, pooled: np.ndarray) -> np.ndarray:
@@ -113,9 +109,9 @@ class TextCnn:
     def parameters(self) -> list[np.ndarray]:
         return [*self.kernels, *self.bias, self.dense, self.offset]
 
-    def gradients(self, features: np.ndarray, starts: np.ndarray, target: np.ndarray, weight: np.ndarray) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    def gradients(self, features: np.ndarray, starts: np.ndarray, stops: np.ndarray, target: np.ndarray, weight: np.ndarray) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
         """Of the weighted log loss: for the parameters, then embedding rows and their gradients. Only the windows that won the pooling have any."""
-        pooled, where = self.respond(features, starts, places=True)
+        pooled, where = self.respond(features, starts, stops, places=True)
         p = 1 / (1 + np.exp(-np.clip(self.logits(pooled), -30, 30)))
         d = ((p - target) * weight / weight.sum()).astype(np.float32)
         back = np.where(pooled > 0, d[:, None] * self.dense, 0)
@@ -140,16 +136,19 @@ NO_WORDS = -3.0
 SEGMENT = 1 << 15
 
 
-def _layout(tokens: list[np.ndarray], reach: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(word rows, segment starts, segment's text): every segment is followed by padding."""
+def _layout(tokens: list[np.ndarray], reach: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(word rows, segment starts, stops of its windows' starts, segment's text). Every segment is followed by padding; windows that reach into it count at
+    a text's end only, so a text's responses don't depend on how it is cut."""
     pad = np.zeros(reach, np.int32)
-    parts, owner = [], []
+    parts, owner, whole = [], [], []
     for i, t in enumerate(tokens):
         for at in range(0, max(1, len(t)), SEGMENT):
             parts += [t[at : at + SEGMENT + reach - 1], pad]
             owner.append(i)
+            whole.append(at + SEGMENT >= len(t))
     sizes = np.array([len(a) + reach for a in parts[::2]])
-    return np.concatenate(parts), np.cumsum(sizes) - sizes, np.array(owner)
+    starts = np.cumsum(sizes) - sizes
+    return np.concatenate(parts), starts, starts + np.where(whole, sizes, SEGMENT), np.array(owner)
 
 
 def raw_logits(model: TextCnn, vocabulary: Vocabulary, texts: list[str], chunk: int = 1 << 17) -> tuple[np.ndarray, np.ndarray]:
@@ -165,13 +164,13 @@ def raw_logits(model: TextCnn, vocabulary: Vocabulary, texts: list[str], chunk:
         for i, t in enumerate(tokens):
             votes = np.bincount(vocabulary.language[t], minlength=len(LANGUAGES) + 1)[:-1]
             languages[first + i] = votes.argmax() if votes.any() else len(LANGUAGES)
-        rows, starts, owner = _layout(tokens, max(model.widths))
-        pooled = np.full((len(tokens), len(model.dense)), 0, np.float32)
-        segments = max(1, (1 << 18) // SEGMENT)
-        for k in range(0, len(starts), 4096 if len(rows) <= 1 << 18 else segments):
-            part = slice(k, k + (4096 if len(rows) <= 1 << 18 else segments))
-            begin, end = starts[part][0], starts[part.stop] if part.stop < len(starts) else len(rows)
-            found, _ = model.respond(vocabulary.features[rows[begin:end]], starts[part] - begin)
+        rows, starts, stops, owner = _layout(tokens, max(model.widths))
+        pooled = np.zeros((len(tokens), len(model.dense)), np.float32)
+        step = len(starts) if len(rows) <= 1 << 18 else max(1, (1 << 18) // SEGMENT)
+        for k in range(0, len(starts), step):
+            part = slice(k, k + step)
+            begin, end = starts[k], starts[k + step] if k + step < len(starts) else len(rows)
+            found, _ = model.respond(vocabulary.features[rows[begin:end]], starts[part] - begin, stops[part] - begin)
             np.maximum.at(pooled, owner[part], found)
         out[first:at] = model.logits(pooled)
         if len(vocabulary.rows) > vocabulary.ROOM:
@@ -210,8 +209,8 @@ def train(texts: list[str], labels: list[int], rate: tuple[float, float] = (1.0,
         order = r.permutation(fit)
         for k in range(0, len(order), batch):
             chosen = order[k : k + batch]
-            rows, starts, owner = _layout([tokens[i] for i in chosen], max(model.widths))
-            grads, at, change = model.gradients(vocabulary.features[rows], starts, target[chosen][owner], balance[chosen][owner])
+            rows, starts, stops, owner = _layout([tokens[i] for i in chosen], max(model.widths))
+            grads, at, change = model.gradients(vocabulary.features[rows], starts, stops, target[chosen][owner], balance[chosen][owner])
             count += 1
             for p, g, m, v in zip(model.parameters(), grads, first, second, strict=True):
                 m += 0.1 * (g - m)
