@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from loomspark.functions.rounding import let
+
 # Factors to millions of SEK.
 FACTORS = {"msek": 1.0, "bsek": 1000.0, "ksek": 0.001, "sek": 0.000001, "eur_m": 11.25, "usd_m": 10.8, "usd_k": 0.0108, "gbp_m": 13.5, "nok_m": 1.0, "dkk_m": 1.55}
 HTML_FACTORS = {**FACTORS, "eur_m": 11.5}
@@ -36,18 +38,21 @@ def parse_number(raw: Column) -> Column:
     Leading text is cut; ``(x)`` and a leading minus of any kind negate; groups of three after commas or spaces are thousands; else a comma before one or
     two digits is decimal. Text after the number is cut unless it holds digits or marks.
     """
-    text = F.regexp_replace(F.trim(raw), r"^[^0-9(–−-]+", "")
-    bracket = text.startswith("(") & text.contains(")")
-    text = F.when(bracket, F.regexp_replace(F.regexp_replace(text, r"^\(", ""), r"^([^)]*)\)", "$1")).otherwise(text)
-    minus = text.rlike(r"^[-–−]")
-    text = F.regexp_replace(text, r"^[-–−]\s*", "")
-    grouped = F.regexp_extract(text, r"^\d{1,3}(?:,\d{3})+(?:\.\d{1,2})?", 0)
-    rest = F.regexp_replace(F.regexp_replace(text, r"[^0-9.,]+$", ""), r"(?<=\d) (?=\d{3}(?!\d))", "")
-    decimal_comma = rest.rlike(r",[^,.]{0,2}$")
-    plain = F.when(decimal_comma, F.regexp_replace(F.regexp_replace(rest, r"\.", ""), ",", ".")).otherwise(F.regexp_replace(rest, ",", ""))
-    digits = F.when(grouped != "", F.regexp_replace(grouped, ",", "")).otherwise(plain)
-    value = F.when(digits.rlike(r"^\d+(\.\d+)?$"), digits.cast("double"))
-    return F.when(bracket | minus, -value).otherwise(value)
+
+
+    def unsigned(text: Column) -> Column:
+        grouped = F.regexp_extract(text, r"^\d{1,3}(?:,\d{3})+(?:\.\d{1,2})?", 0)
+        rest = F.regexp_replace(F.regexp_replace(text, r"[^0-9.,]+$", ""), r"(?<=\d) (?=\d{3}(?!\d))", "")
+        plain = let(rest, lambda x: F.when(x.rlike(r",[^,.]{0,2}$"), F.regexp_replace(F.regexp_replace(x, r"\.", ""), ",", ".")).otherwise(F.regexp_replace(x, ",", "")))
+        digits = let(grouped, lambda g: F.when(g != "", F.regexp_replace(g, ",", "")).otherwise(plain))
+        return let(digits, lambda d: F.when(d.rlike(r"^\d+(\.\d+)?$"), d.cast("double")))
+
+    def signed(text: Column) -> Column:
+        bracket = text.startswith("(") & text.contains(")")
+        inner = F.when(bracket, F.regexp_replace(F.regexp_replace(text, r"^\(", ""), r"^([^)]*)\)", "$1")).otherwise(text)
+        return let(F.struct(bracket.alias("b"), inner.alias("t")), lambda s: let(unsigned(F.regexp_replace(s["t"], r"^[-–−]\s*", "")), lambda v: F.when(s["b"] | s["t"].rlike(r"^[-–−]"), -v).otherwise(v)))
+
+    return let(F.regexp_replace(F.trim(raw), r"^[^0-9(–−-]+", ""), signed)
 
 
 def parse_number_html(raw: Column) -> Column:
@@ -77,13 +82,15 @@ def parse_co2(raw: Column) -> Column:
 
 def unit_context(text: Column) -> Column:
     """The unit of the earliest marker, families in their order at a tie. A euro marker early in the text yields to an explicit SEK statement further on."""
-    low = F.lower(text)
-    at = lambda p: F.nullif(F.regexp_instr(low, F.lit(ascii_words(p))), F.lit(0))
-    marks = F.array(*(F.struct(at(p).alias("at"), F.lit(i).alias("order"), F.lit(unit).alias("unit")) for i, (unit, p) in enumerate(UNIT_MARKERS)))
-    best = F.array_min(F.filter(marks, lambda m: m["at"].isNotNull()))
-    sek = at(EXPLICIT_SEK)
-    later = (best["unit"] == "eur_m") & (best["at"] <= EARLY_EURO) & (sek > best["at"]) & (sek <= LATE_SEK)
-    return F.when(F.coalesce(later, F.lit(False)), "msek").otherwise(best["unit"])
+
+    def earliest(low: Column) -> Column:
+        at = lambda p: F.nullif(F.regexp_instr(low, F.lit(ascii_words(p))), F.lit(0))
+        marks = F.array(*(F.struct(at(p).alias("at"), F.lit(i).alias("order"), F.lit(unit).alias("unit")) for i, (unit, p) in enumerate(UNIT_MARKERS)))
+        both = F.struct(F.array_min(F.filter(marks, lambda m: m["at"].isNotNull())).alias("best"), at(EXPLICIT_SEK).alias("sek"))
+        later = lambda b: (b["best"]["unit"] == "eur_m") & (b["best"]["at"] <= EARLY_EURO) & (b["sek"] > b["best"]["at"]) & (b["sek"] <= LATE_SEK)
+        return let(both, lambda b: F.when(F.coalesce(later(b), F.lit(False)), "msek").otherwise(b["best"]["unit"]))
+
+    return let(F.lower(text), earliest)
 
 
 def to_msek(value: Column, unit: Column, factors: dict[str, float] = FACTORS) -> Column:

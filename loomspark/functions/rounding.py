@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body names it. Without it a chain of steps doubles its expression at each."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def round_half_up(x: Column) -> Column:
     """Nearest integer, halves toward plus infinity."""
     return F.floor(x + 0.5).cast("double")

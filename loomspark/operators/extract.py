@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomspark.functions import numbers as num
-from loomspark.functions.rounding import round_half_up
+from loomspark.functions.rounding import let, round_half_up
 
 # Labels in order of rank, by type and field.
 LABELS: dict[str, dict[str, list[str]]] = {
@@ -34,8 +34,8 @@ EXCLUDED = ("other ", "övriga ", "adjusted ", "parent ", "moderbolag")
 
 def cells(tail: Column) -> Column:
     """The number-like cells after a label: columns split at two spaces or tabs where there are any, else at the numbers themselves."""
-    split = F.filter(F.transform(F.split(F.trim(tail), r"\s{2,}|\t"), lambda c: F.trim(c)), lambda c: c.rlike(r"\d"))
-    return F.when(F.trim(tail).rlike(r"\s{2,}|\t"), split).otherwise(F.regexp_extract_all(tail, F.lit(f"({_NUMBER})"), F.lit(1)))
+    columns = lambda t: F.filter(F.transform(F.split(t, r"\s{2,}|\t"), lambda c: F.trim(c)), lambda c: c.rlike(r"\d"))
+    return let(F.trim(tail), lambda t: F.when(t.rlike(r"\s{2,}|\t"), columns(t)).otherwise(F.regexp_extract_all(t, F.lit(f"({_NUMBER})"), F.lit(1))))
 
 
 def usable(cell: Column) -> Column:
@@ -48,12 +48,22 @@ def pick_cell(candidates: Column, header: Column, year: str | None) -> Column:
     """The value of the wanted year's column where a header of as many columns stands above, else of the first; a spread over 500 times gives none.
 
     A lone small integer before larger values is a note reference and is left out."""
+
+    def chosen(x: Column) -> Column:
+        values, years = x["v"], x["h"]
+        size = lambda k: F.abs(F.get(values, F.lit(k)))
+        note = (F.size(values) > 1) & (size(0) < 100) & (size(1) >= 1000) & (F.size(values) > F.size(years))
+        return let(F.struct(F.when(note, F.slice(values, 2, F.greatest(F.size(values) - 1, F.lit(0)))).otherwise(values).alias("v"), years.alias("h")), by_column)
+
+    def by_column(x: Column) -> Column:
+        values, years = x["v"], x["h"]
+        at = F.coalesce(F.array_position(years, year).cast("int"), F.lit(0)) if year else F.lit(0)
+        sizes = F.transform(values, lambda v: F.abs(v))
+        spread = F.coalesce(F.array_max(sizes) > 500 * F.greatest(F.array_min(sizes), F.lit(1.0)), F.lit(False))
+        return F.when((F.size(years) >= 2) & (at > 0) & (F.size(values) >= at), F.get(values, at - 1)).when(~spread, F.get(values, F.lit(0)))
+
     values = F.filter(F.transform(F.filter(candidates, usable), num.parse_number), lambda v: v.isNotNull())
-    without_note = F.when((F.size(values) > 1) & (F.abs(F.get(values, F.lit(0))) < 100) & (F.abs(F.get(values, F.lit(1))) >= 1000) & (F.size(values) > F.size(header)), F.slice(values, 2, F.greatest(F.size(values) - 1, F.lit(0)))).otherwise(values)
-    at = F.array_position(header, year).cast("int") if year else F.lit(0)
-    by_year = F.when((F.size(header) >= 2) & (at > 0) & (F.size(without_note) >= at), F.get(without_note, at - 1))
-    spread = F.array_max(F.transform(without_note, lambda v: F.abs(v))) > 500 * F.greatest(F.array_min(F.transform(without_note, lambda v: F.abs(v))), F.lit(1.0))
-    return F.when(by_year.isNotNull(), by_year).when(~F.coalesce(spread, F.lit(False)), F.get(without_note, F.lit(0)))
+    return let(F.struct(values.alias("v"), header.alias("h")), chosen)
 
 
 def _lines(text: Column) -> Column:
@@ -65,27 +75,33 @@ def header_above(lines: Column, no: Column, reach: int = 3) -> Column:
     def years(k: int) -> Column:
         return F.regexp_extract_all(F.coalesce(F.get(lines, no - k)["line"], F.lit("")), F.lit(r"\b(20\d{2})\b"), F.lit(1))
 
-    found = F.when(F.lit(False), years(1))
-    for k in range(1, reach + 1):
-        found = found.when(F.size(years(k)) >= 2, years(k))
-    return F.coalesce(found, F.array().cast("array<string>"))
+    near = F.array(*(years(k) for k in range(1, reach + 1)))
+    return F.coalesce(F.get(F.filter(near, lambda y: F.size(y) >= 2), F.lit(0)), F.array().cast("array<string>"))
 
 
 def label_hits(lines: Column, labels: list[str], passes: tuple[tuple[int, int], ...] = ((150, 60), (500, 200)), excluded: tuple[str, ...] = EXCLUDED) -> Column:
     """All (pass, rank, line, position after the label), sorted: the first usable one wins."""
-    def of(line: Column) -> Column:
-        low = F.lower(line["line"])
-        tries = [
-            F.when(
-                (F.length(line["line"]) <= longest) & F.instr(low, label).between(1, offset + 1) & ~F.substring(low, 1, F.instr(low, label) - 1).rlike("(" + "|".join(x.strip() for x in excluded) + r")\s*$"),
-                F.struct(F.lit(p).alias("pass_no"), F.lit(r).alias("rank"), line["no"].alias("no"), (F.instr(low, label) + len(label)).alias("after"), F.lit(label).alias("label")),
-            )
-            for p, (longest, offset) in enumerate(passes)
-            for r, label in enumerate(labels)
-        ]
-        return F.array_compact(F.array(*tries))
-
-    return F.array_sort(F.flatten(F.transform(lines, of)))
+    before = "(" + "|".join(x.strip() for x in excluded) + r")\s*$"
+
+    def of(x: Column) -> Column:
+        low, length, no = x["low"], x["n"], x["no"]
+
+        def hit(p: int, r: int, at: Column) -> Column:
+            longest, offset = passes[p]
+            fits = (length <= longest) & at.between(1, offset + 1) & ~F.substring(low, F.lit(1), at - 1).rlike(before)
+            return F.when(fits, F.struct(F.lit(p).alias("pass_no"), F.lit(r).alias("rank"), no.alias("no"), (at + len(labels[r])).alias("after"), F.lit(labels[r]).alias("label")))
+
+        def hits(r: int) -> Column:
+            # Short one-word labels need neighbours that are no letters.
+            lone = len(labels[r]) <= 5 and " " not in labels[r]
+            at = F.regexp_instr(low, F.lit(f"(?<![a-zåäö]){labels[r]}(?![a-zåäö])")) if lone else F.instr(low, labels[r])
+            return let(at, lambda at: F.array_compact(F.array(*(hit(p, r, at) for p in range(len(passes))))))
+
+        return F.flatten(F.array(*map(hits, range(len(labels)))))
+
+    # Lines without any label are left out before the labels are told apart.
+    some = F.filter(F.transform(lines, lambda x: F.struct(F.lower(x["line"]).alias("low"), F.length(x["line"]).alias("n"), x["no"].alias("no"))), lambda x: x["low"].rlike("|".join(labels)))
+    return F.array_sort(F.flatten(F.transform(some, of)))
 
 
 def first_figure(lines: Column, labels: list[str], year: str | None = None) -> Column:
