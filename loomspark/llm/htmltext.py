@@ -27,19 +27,24 @@ BLOCKS = frozenset(
 )
 CONTAINERS = frozenset("article aside blockquote body center details dialog dir div dl fieldset figure footer form header li main menu nav ol search section table td tr ul".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-UNSEEN = frozenset("script style noscript template svg math head iframe object canvas audio video select textarea button map applet".split())
+UNSEEN = frozenset("script style noscript template svg head title iframe object canvas audio video select textarea button map applet".split())
 BOILERPLATE_TAGS = frozenset("nav footer aside form dialog menu search".split())
 BOILERPLATE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 #: Words of class and id names that mark menus, headers, footers, sidebars, notices, adverts, forms and comments.
 BOILERPLATE_NAMES = frozenset(
     "ad ads adv advert adverts advertisement advertisements advertising adsense banner banners sponsor sponsored promo promos promotion nav navbar navigation menu menus submenu breadcrumb "
     "breadcrumbs pagination pager header masthead topbar footer foot bottombar sidebar sidebars aside rail notice notices cookie cookies consent gdpr alert popup modal overlay newsletter "
-    "subscribe subscription signup login comment comments commentlist respond reply replies discussion disqus form search share sharing social related recommended widget widgets toolbar".split()
+    "subscribe subscription signup login comment comments commentlist respond responses reply replies reactions discussion disqus form search share sharing social related recommended widget widgets toolbar announcement "
+    "paywall disclaimer copyright".split()
 )
-CONTENT_NAMES = frozenset("article content main post story entry body text".split())
+#: Beside one of these, a header is the article's own.
+CONTENT_NAMES = frozenset("article content post story entry".split())
+OWN_HEADER = frozenset("header head banner".split())
+_HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
 _NAME = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 _SPACE = re.compile(r"\s+")
+_HEADING = re.compile(r"h[1-6]$")
 _OPENING = re.compile(r"<[/!A-Za-z]")
 
 
@@ -111,15 +116,19 @@ class _Page(HTMLParser):
                 self.articles.add(self.count)
 
     def _boilerplate(self, tag: str, attrs: dict[str, str | None], inside: bool) -> bool:
-        if tag in ("html", "body", "main", "article", "p", "h1", "h2", "h3", "h4", "h5", "h6"):
-            own = attrs.get("class") or ""
-            return tag in ("p", "article") and bool({"ad", "ads", "advert", "advertisement", "comment", "cookie", "notice", "sponsored"} & set(_NAME.findall(own.lower())))
-        if tag in BOILERPLATE_TAGS or tag == "header" and not inside or (attrs.get("role") or "").lower() in BOILERPLATE_ROLES or "hidden" in attrs or (attrs.get("aria-hidden") or "") == "true":
+        """Whether the element's name, role or class says that it isn't the article. ``inside``: it stands in an article or main element."""
+        get = lambda name: (attrs.get(name) or "").lower()
+        if "hidden" in attrs or get("aria-hidden") == "true" or _HIDDEN.search(get("style")):
+            return True
+        if tag in ("html", "body"):
+            return False
+        if tag in BOILERPLATE_TAGS or tag == "header" and not inside or get("role") in BOILERPLATE_ROLES:
             return True
         names = set(_NAME.findall(_CAMEL.sub(" ", f"{attrs.get('class') or ''} {attrs.get('id') or ''}").lower()))
-        if tag == "header":  # an article's own header is part of it
-            names -= {"header", "banner"}
-        return bool(names & BOILERPLATE_NAMES) and not (names & CONTENT_NAMES and not names & {"comment", "comments", "sidebar", "ad", "ads", "footer", "related", "form"} and tag != "header")
+        found = names & BOILERPLATE_NAMES
+        if tag in ("header", "hgroup") or _HEADING.match(tag) or names & CONTENT_NAMES:
+            found -= OWN_HEADER
+        return bool(found)
 
     def handle_endtag(self, tag: str) -> None:
         self.tags += 1
@@ -192,7 +201,8 @@ def content_lines(lines: list[Line], articles: set[int], sigma: float = 1.0, str
     out = []
     for i, x in enumerate(lines):
         title = i < first and x.kind == "h1" and not x.boilerplate
-        menu = x.kind in ("li", "div", "td", "ul") and x.linked > 0.8 * len(x.text)
+        # Lists of links are menus, but not in an article.
+        menu = region not in articles and x.kind in ("li", "div", "td", "ul") and x.linked > 0.8 * len(x.text)
         if (held[i] and not x.boilerplate and not menu) or title:
             out.append(x)
     return out

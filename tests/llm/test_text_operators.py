@@ -122,6 +122,24 @@ def test_main_text_without_article_element():
     assert main_text(page) == "Head\n\n" + ("words and words " * 20).strip() + "\n\nEnd."
 
 
+LONG = "A sentence of the article that goes on for a while, so that it weighs something. "
+WANTED = ["Head", LONG.strip(), "Short.", "a quote", "cell one", "cell two", "a caption", "see the source", (LONG * 3).strip()]
+BODY = f"<h1>Head</h1><p>{LONG}</p><p>Short.</p><blockquote>a quote</blockquote><table><tr><td>cell one<td>cell two</tr></table><figure><img src=x><figcaption>a caption</figcaption></figure><ul><li><a href=1>see the source</a></ul><p>{LONG * 3}</p>"
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<body><nav>menu menu</nav><article>{BODY}<footer>by line</footer></article><section id=comments><h2>Comments</h2><p>{LONG * 5}</p></section></body>",
+        f"<body><div class=main-menu><a href=1>one</a></div><main>{BODY}<div class='share-buttons'>Share</div><div id=disqus_thread>{LONG}</div></main><div id=sidebar>{LONG * 2}</div></body>",
+        f"<body><div class=topbar>{LONG}</div><article class=post><div class=entry-header></div>{BODY}<p class=advert>{LONG}</p><p style='display: none'>{LONG}</p><aside>{LONG}</aside><div class=related-posts><p>{LONG}</p></div></article><div role=contentinfo>{LONG}</div>",
+        f"<html><body><header>{LONG}</header><div id=cookieNotice>{LONG * 4}</div><article>{BODY}<form><label>Mail</label> <button>Go</button>{LONG}</form><script>document.write('<p>x</p>')</script><noscript>{LONG}</noscript></article><div class=newsletter>{LONG}</div></body></html>",
+    ],
+)
+def test_articles_among_boilerplate(page):
+    assert main_text(page).split("\n\n") == WANTED
+
+
 @pytest.mark.parametrize("page", [None, "", "   ", "<nav>only menu</nav>", "<script>x</script>", "<p></p>", "<!-- a -->"])
 def test_pages_without_text(page):
     assert main_text(page) == ""
