@@ -104,7 +104,7 @@ def read_list(spark: SparkSession, path: str) -> DataFrame:
     """``name``: a JSON array of strings, trimmed, without empties. Anything else raises."""
     parsed = whole_files(spark, path).select(F.from_json("value", "array<string>").alias("names"), F.ltrim("value").startswith("[").alias("ok"))
     checked = parsed.select(F.when(F.coalesce(F.col("ok") & F.col("names").isNotNull(), F.lit(False)), F.col("names")).otherwise(F.raise_error(F.lit("a JSON array of strings is expected")).cast("array<string>")).alias("names"))
-    return checked.select(F.trim(F.explode("names")).alias("name")).where("name <> ''")
+    return checked.select(F.explode("names").alias("name")).select(F.trim("name").alias("name")).where("name <> ''")
 
 
 def read_fetch_log(spark: SparkSession, path: str) -> DataFrame:
