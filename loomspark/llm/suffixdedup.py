@@ -28,11 +28,11 @@ BLOCK = 1 << 19
 _PLACE = np.uint64((1 << 20) - 1)
 _M = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB)]
 
-_RUN = np.dtype([("key", "<u8"), ("digest", "<u8"), ("doc", "<i8"), ("tag", "<u2"), ("start", "<u4"), ("n", "u1"), ("kind", "u1")])
+_RUN = np.dtype([("key", "<u8"), ("digest", "<u8"), ("doc", "<i8"), ("tag", "<i8"), ("start", "<u4"), ("n", "u1"), ("kind", "u1")])
 _FIELDS = ("key", "digest", "doc", "tag", "start", "n", "kind")
 _RUNS = T.StructType([T.StructField("bucket", T.IntegerType()), *(T.StructField(c, T.BinaryType()) for c in _FIELDS)])
 _MARKS = T.StructType(
-    [T.StructField("doc", T.LongType()), T.StructField("tag", T.IntegerType()), T.StructField("kind", T.IntegerType()), T.StructField("start", T.BinaryType()), T.StructField("n", T.BinaryType()), T.StructField("key", T.BinaryType())]
+    [T.StructField("doc", T.LongType()), T.StructField("tag", T.LongType()), T.StructField("kind", T.IntegerType()), T.StructField("start", T.BinaryType()), T.StructField("n", T.BinaryType()), T.StructField("key", T.BinaryType())]
 )
 _SLICE = T.StructType(
     [
@@ -40,7 +40,7 @@ _SLICE = T.StructType(
         T.StructField("kind", T.IntegerType()),
         T.StructField("key", T.LongType()),
         T.StructField("doc", T.LongType()),
-        T.StructField("tag", T.IntegerType()),
+        T.StructField("tag", T.LongType()),
         T.StructField("start", T.LongType()),
         T.StructField("n", T.IntegerType()),
         T.StructField("bytes", T.BinaryType()),
@@ -101,12 +101,12 @@ def _first_of(*columns: np.ndarray) -> np.ndarray:
 def collapse(runs: np.ndarray, most: int) -> np.ndarray:
     """Sorted runs with their kinds: of equal runs all but the earliest are COVERED; a key with more than ``most`` different runs or with a MARK is HOT, one
     with a single run ALONE, any other to COMPARE."""
-    runs = runs[np.lexsort((runs["tag"], runs["start"], runs["doc"], runs["digest"], runs["kind"] == MARK, runs["key"]))]
+    runs = runs[np.lexsort((runs["start"], runs["tag"], runs["doc"], runs["digest"], runs["kind"] == MARK, runs["key"]))]
     runs = runs[_first_of(runs["key"], runs["digest"], runs["kind"] == MARK, runs["doc"], runs["start"], runs["tag"])]  # repeated rows
     marked = runs["kind"] == MARK
     first = _first_of(runs["key"], runs["digest"], marked) & ~marked
     head = np.maximum.accumulate(np.where(first | marked, np.arange(len(runs)), 0))
-    earliest = first | (runs["doc"] == runs["doc"][head]) & (runs["start"] == runs["start"][head])
+    earliest = first | (runs["doc"] == runs["doc"][head]) & (runs["tag"] == runs["tag"][head]) & (runs["start"] == runs["start"][head])
     group = np.cumsum(_first_of(runs["key"])) - 1
     different = np.bincount(group, first)
     hot = (different > most) | (np.bincount(group, marked) > 0)
@@ -124,7 +124,7 @@ def _scan(length: int, q: int, buckets: int, hot_runs: int, flush_bytes: int):
         marks["kind"] = MARK
         runs["kind"][runs["kind"] == COMPARE] = ALONE  # to be settled where all runs of the key meet
         by_key = runs["kind"] == ALONE
-        where = np.where(by_key, runs["key"] % np.uint64(buckets), runs["doc"].astype(np.uint64) * _M[0] >> np.uint64(33) & np.uint64(0x7FFFFFFF))
+        where = np.where(by_key, runs["key"] % np.uint64(buckets), (runs["doc"] ^ runs["tag"]).astype(np.uint64) * _M[0] >> np.uint64(33) & np.uint64(0x7FFFFFFF))
         runs = np.concatenate([runs, marks])
         where = np.concatenate([where, marks["key"] % np.uint64(buckets)]) % np.uint64(buckets)
         order = np.lexsort((runs["start"], runs["doc"], where))
@@ -165,7 +165,7 @@ def _by_document(runs: np.ndarray) -> pd.DataFrame:
     return pd.DataFrame(
         {
             "doc": head["doc"].astype(np.int64),
-            "tag": head["tag"].astype(np.int32),
+            "tag": head["tag"].astype(np.int64),
             "kind": head["kind"].astype(np.int32),
             **{c: pd.Series([p[c].tobytes() for p in parts], dtype=object) for c in ("start", "n", "key")},
         }
@@ -212,15 +212,15 @@ def _cut(length: int, buckets: int):
                         continue
                     for p, digest in _windows(text, start, n, length):
                         before = seen.get(digest)
-                        late = (doc, p, tag)
+                        late = (doc, tag, p)
                         if before is None or late < before:
                             seen[digest], late = late, before
-                        if late is not None and late[:2] != seen[digest][:2]:
-                            out.append((late[0] % buckets, COVERED, 0, late[0], late[2], late[1], 1, None))
+                        if late is not None and late != seen[digest]:
+                            out.append(((late[0] ^ late[1]) % buckets, COVERED, 0, *late, 1, None))
                 if len(out) >= 1 << 16:
                     yield _slices(out)
                     out = []
-            for digest, (doc, p, tag) in seen.items():
+            for digest, (doc, tag, p) in seen.items():
                 key = int.from_bytes(digest[:8], "little", signed=True)
                 out.append((key % buckets, HOT, key, doc, tag, p, 1, digest))
             yield _slices(out)
@@ -229,7 +229,7 @@ def _cut(length: int, buckets: int):
 
 
 def _slices(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.binary())
+    kinds = (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True) if rows else [[]] * 8, kinds, strict=True)], names=_SLICE.names)
 
 
@@ -281,12 +281,12 @@ def repeated_windows(slices: list[bytes], keys: np.ndarray, counts: np.ndarray,
     return np.where(alive[start], bucket[start].astype(np.int64), -1)
 
 
-def _late(bucket: np.ndarray, doc: np.ndarray, place: np.ndarray) -> np.ndarray:
+def _late(bucket: np.ndarray, doc: np.ndarray, tag: np.ndarray, place: np.ndarray) -> np.ndarray:
     """The rows whose bucket has an earlier one."""
-    order = np.lexsort((place, doc, bucket))
+    order = np.lexsort((place, tag, doc, bucket))
     first = _first_of(bucket[order])
     head = np.maximum.accumulate(np.where(first, np.arange(len(order)), 0))
-    same = (doc[order] == doc[order][head]) & (place[order] == place[order][head])  # repeated rows: neither is earlier
+    same = (doc[order] == doc[order][head]) & (tag[order] == tag[order][head]) & (place[order] == place[order][head])  # repeated rows: neither is earlier
     return order[(bucket[order] >= 0) & ~first & ~same]
 
 
@@ -298,7 +298,7 @@ def _compare(length: int, piece_bytes: int):
         hot = rows[rows["kind"] == HOT]
         if len(hot):
             doc, tag, start = (hot[c].to_numpy(np.int64) for c in ("doc", "tag", "start"))
-            late = _late(np.unique(hot["bytes"].to_numpy(dtype=object).astype("V16"), return_inverse=True)[1], doc, start)
+            late = _late(np.unique(hot["bytes"].to_numpy(dtype=object).astype("V16"), return_inverse=True)[1], doc, tag, start)
             out.append(_ranges(doc[late], tag[late], start[late]))
         rest = rows[rows["kind"] == COMPARE].sort_values("key", kind="stable")
         if len(rest):
@@ -314,7 +314,7 @@ def _compare(length: int, piece_bytes: int):
                 bucket = repeated_windows(part["bytes"].tolist(), keys[a:b], counts, length)
                 doc, tag, start = (np.repeat(part[c].to_numpy(np.int64), counts) for c in ("doc", "tag", "start"))
                 start = start + np.arange(len(start)) - np.repeat(np.cumsum(counts) - counts, counts)
-                late = _late(bucket, doc, start)
+                late = _late(bucket, doc, tag, start)
                 out.append(_ranges(doc[late], tag[late], start[late]))
         return _by_document(np.concatenate(out))
 
@@ -375,7 +375,8 @@ def suffix_dedup(
     """One row per input row: ``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` and, if ``full``, the bytes ``kept``.
 
     Texts are UTF-8 bytes. A byte goes if a string of ``length`` bytes that covers it also starts earlier (smaller identifier, nulls first, or earlier in the same
-    text; overlaps count); strings are judged on the input. Null and empty texts have no bytes, texts shorter than ``length`` lose none. Rows that
+    text; overlaps count); strings are judged on the input. Different texts under one
+    identifier, or without one, are documents of their own, in the order of their 64-bit hashes. Null and empty texts have no bytes, texts shorter than ``length`` lose none. Rows that
     share identifier and text are one document and fare alike. An empty table gives an empty result; other columns are not read.
 
     Runs, not texts, meet by key: one of about (length - q) / 2 bytes each. A task sends one of its equal runs. A key with more different runs than
@@ -386,7 +387,7 @@ def suffix_dedup(
     spark = docs.sparkSession
     scratch = Scratch(spark, "suffix")
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    source = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63))).alias("doc"), F.xxhash64(text).bitwiseAND(0xFFFF).cast("int").alias("tag"), text.alias("text"))
+    source = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63))).alias("doc"), F.xxhash64(text).alias("tag"), text.alias("text"))
     size = docs.agg(F.sum(F.octet_length(F.col(text_col).cast("string")))).first()[0] or 0
     buckets = max(8, int(size * 2 / (length - q) * _RUN.itemsize) // bucket_bytes)
     runs = source.mapInArrow(_scan(length, q, buckets, hot_runs[0], 16 << 20), _RUNS)

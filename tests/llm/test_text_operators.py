@@ -271,6 +271,21 @@ def test_suffix_dedup_edges(spark):
         suffix_dedup(documents(spark, rows), q=4)
 
 
+@pytest.mark.parametrize("options", [{}, {"hot_runs": (1, 1)}])
+def test_suffix_dedup_of_many_texts_without_identifier(spark, options):
+    r = random.Random(11)
+    passages = ["".join(r.choice("abcdefgh ") for _ in range(130)) for _ in range(40)]
+    texts = [f"{k} " + "".join(r.choice("ijklmnop ") for _ in range(r.randrange(200))) + r.choice(passages) * (k % 3 > 0) for k in range(4000)]
+    rows = [(None if k % 8 else 7, t, None, None, None) for k, t in enumerate([*texts, *texts[:50]])]
+    df = documents(spark, rows).repartition(6)
+    # A text under an identifier is a document; its hash is its place among the texts of one identifier.
+    place = {(x[0], x[1]): (-(2**63) if x[0] is None else x[0], x[2]) for x in df.selectExpr("doc_id", "text", "xxhash64(text)").collect()}
+    want = brute_suffix([(p, text) for (_, text), p in place.items()], 100)
+    got = [(tuple(x)[1:5], bytes(x[5])) for x in suffix_dedup(df, **options).collect()]
+    assert sorted(got) == sorted((want[place[x[:2]]][:4], want[place[x[:2]]][4]) for x in rows)
+    assert sum(x[1] for x in want.values()) > 100_000
+
+
 def test_suffix_dedup_across_blocks(spark, monkeypatch):
     from loomspark.llm import suffixdedup
 
