@@ -39,6 +39,8 @@ BOILERPLATE_NAMES = frozenset(
 )
 #: Beside one of these, a header is the article's own.
 CONTENT_NAMES = frozenset("article content post story entry".split())
+#: Lists, quotes and the like are parts of an article, never all of it.
+PARTS = frozenset("blockquote details dl figure li ol ul".split())
 OWN_HEADER = frozenset("header head banner".split())
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
 _NAME = re.compile(r"[a-z]+")
@@ -68,6 +70,11 @@ class _Element:
     unseen: bool
 
 
+def _names(attrs: dict[str, str | None]) -> set[str]:
+    """The words of an element's class and id."""
+    return set(_NAME.findall(_CAMEL.sub(" ", f"{attrs.get('class') or ''} {attrs.get('id') or ''}").lower()))
+
+
 class _Page(HTMLParser):
     """Turns the parser's events into lines, with a stack of the open block elements."""
 
@@ -76,6 +83,8 @@ class _Page(HTMLParser):
         self.lines: list[Line] = []
         self.open: list[_Element] = []
         self.articles: set[int] = set()
+        self.named: set[int] = set()
+        self.parts: set[int] = set()
         self.count = self.tags = self.linked = self.anchors = 0
         self.text: list[str] = []
         self.kind = ""
@@ -114,6 +123,10 @@ class _Page(HTMLParser):
             self.open.append(_Element(tag, self.count, self._boilerplate(tag, dict(attrs), inside), tag in UNSEEN))
             if tag in ("article", "main"):
                 self.articles.add(self.count)
+            elif tag in PARTS:
+                self.parts.add(self.count)
+            elif tag in CONTAINERS and tag != "body" and _names(dict(attrs)) & CONTENT_NAMES:
+                self.named.add(self.count)
 
     def _boilerplate(self, tag: str, attrs: dict[str, str | None], inside: bool) -> bool:
         """Whether the element's name, role or class says that it isn't the article. ``inside``: it stands in an article or main element."""
@@ -124,7 +137,7 @@ class _Page(HTMLParser):
             return False
         if tag in BOILERPLATE_TAGS or tag == "header" and not inside or get("role") in BOILERPLATE_ROLES:
             return True
-        names = set(_NAME.findall(_CAMEL.sub(" ", f"{attrs.get('class') or ''} {attrs.get('id') or ''}").lower()))
+        names = _names(attrs)
         found = names & BOILERPLATE_NAMES
         if tag in ("header", "hgroup") or _HEADING.match(tag) or names & CONTENT_NAMES:
             found -= OWN_HEADER
@@ -153,8 +166,8 @@ class _Page(HTMLParser):
                 self.linked += len(data.strip())
 
 
-def page_lines(html: str | None) -> tuple[list[Line], set[int]]:
-    """The lines of a page and the numbers of its article and main elements."""
+def page_lines(html: str | None) -> tuple[list[Line], set[int], set[int], set[int]]:
+    """The lines of a page and the numbers of its article and main elements, of the elements with an article's name, and of lists, quotes and the like."""
     page = _Page()
     html = html or ""
     # A tag that the page's end cuts off is no text.
@@ -162,7 +175,7 @@ def page_lines(html: str | None) -> tuple[list[Line], set[int]]:
     page.feed(html[:last] if last >= 0 and _OPENING.match(html, last) else html)
     page.close()
     page._end_line()
-    return page.lines, page.articles
+    return page.lines, page.articles, page.named, page.parts
 
 
 def smooth(ratios: np.ndarray, sigma: float) -> np.ndarray:
@@ -173,11 +186,12 @@ def smooth(ratios: np.ndarray, sigma: float) -> np.ndarray:
     return full / np.convolve(np.ones(len(ratios)), kernel)[reach : reach + len(ratios)]
 
 
-def content_lines(lines: list[Line], articles: set[int], sigma: float = 1.0, strength: float = 1.0) -> list[Line]:
+def content_lines(lines: list[Line], articles: set[int], named: set[int] = frozenset(), parts: set[int] = frozenset(), sigma: float = 1.0, strength: float = 1.0) -> list[Line]:
     """The lines of the content region.
 
     Ratios of lines that the markup calls boilerplate count as 0. Lines whose smoothed ratio is at least ``strength`` standard deviations, or half the mean if that is lower, are
-    content seeds. The region is the innermost element with most of the seeds' text, widened to the article or main element around it, and headings that stand directly before it.
+    content seeds. The region is the innermost element with most of the seeds' text, widened to the article or main element around it, and headings that stand directly before it. Without
+    such an element the region is the innermost one that holds all seeds, and no list or quote; it is widened to the outermost element with an article's name around it.
     """
     ratios = np.array([0.0 if x.boilerplate else len(x.text) / max(1, x.tags) for x in lines])
     if not ratios.any():
@@ -195,7 +209,13 @@ def content_lines(lines: list[Line], articles: set[int], sigma: float = 1.0, str
             depth[number] = d
     most = max((n for n in mass if mass[n] > 0.6 * mass[0]), key=depth.__getitem__)
     around = next((x.path for x in seeds if most in x.path), ())
-    region = next((n for n in around[: depth[most]] if n in articles), most)
+    region = next((n for n in around[: depth[most]] if n in articles), None)
+    if region is None:
+        whole = max((n for n in mass if mass[n] == mass[0]), key=depth.__getitem__)
+        outer = around[: depth[whole]]
+        while outer and outer[-1] in parts:
+            outer = outer[:-1]
+        region = next((n for n in outer if n in named), outer[-1] if outer else 0)
     held = [region == 0 or region in x.path for x in lines]
     first = held.index(True)
     out = []

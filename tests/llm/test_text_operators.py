@@ -140,6 +140,31 @@ def test_articles_among_boilerplate(page):
     assert main_text(page).split("\n\n") == WANTED
 
 
+BEFORE, AFTER = "<h1>Head</h1><p>" + LONG + "</p><p>Short.</p>", "<p>" + LONG + "</p><p>End.</p>"
+BULK = LONG * 12
+
+
+@pytest.mark.parametrize("name", ["<div id=content>", "<div>"])
+@pytest.mark.parametrize(
+    ("bulk", "found"),
+    [
+        (f"<ul><li>{BULK}</li><li>{BULK}</li></ul>", [BULK.strip()] * 2),
+        (f"<ul><li>{BULK}</li><li>two</li></ul>", [BULK.strip(), "two"]),
+        (f"<blockquote><p>{BULK}</p><p>{BULK}</p></blockquote>", [BULK.strip()] * 2),
+        (f"<table><tr><td>one</td><td>{BULK}</td></tr></table>", ["one", BULK.strip()]),
+        (f"<section><h2>Part</h2><p>{BULK}</p></section><section><p>{LONG}</p></section>", ["Part", BULK.strip(), LONG.strip()]),
+    ],
+)
+def test_pages_of_divs_with_a_dominant_element(name, bulk, found):
+    page = f"<body><div class=menu><a href=1>one</a></div>{name}{BEFORE}{bulk}{AFTER}</div><div class=footer>{LONG}</div></body>"
+    assert main_text(page).split("\n\n") == ["Head", LONG.strip(), "Short.", *found, LONG.strip(), "End."]
+
+
+def test_short_paragraphs_beside_a_dominant_list():
+    page = f"<body><div class=post><p>One.</p><ul>{f'<li>{BULK}</li>' * 5}</ul><p>Two.</p><section><p>Three.</p></section></div><div id=sidebar><p>{LONG}</p></div></body>"
+    assert main_text(page).split("\n\n") == ["One.", *[BULK.strip()] * 5, "Two.", "Three."]
+
+
 @pytest.mark.parametrize("page", [None, "", "   ", "<nav>only menu</nav>", "<script>x</script>", "<p></p>", "<!-- a -->"])
 def test_pages_without_text(page):
     assert main_text(page) == ""
