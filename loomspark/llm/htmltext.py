@@ -42,6 +42,10 @@ CONTENT_NAMES = frozenset("article content post story entry".split())
 #: Lists, quotes and the like are parts of an article, never all of it.
 PARTS = frozenset("blockquote details dl figure li ol ul".split())
 OWN_HEADER = frozenset("header head banner".split())
+#: A class such as with-sidebar or has-comments tells of a layout, not what the element is.
+LAYOUT_NAMES = frozenset("with without has have no enabled disabled layout".split())
+#: A line of prose has so many characters, at most half of them linked.
+PROSE = 40
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
 _NAME = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
@@ -50,9 +54,14 @@ _HEADING = re.compile(r"h[1-6]$")
 _OPENING = re.compile(r"<[/!A-Za-z]")
 
 
+#: What the markup says of an element.
+PLAIN, MARKED = 1, 2
+
+
 @dataclass
 class Line:
-    """A block of the page: its text, the tags since the line before, and the elements around it, outermost first."""
+    """A block of the page: its text, the tags since the line before, and the elements around it, outermost first. ``marks`` are those that a name or a form element
+    makes boilerplate; a page's wrapper among them is excused when the whole page is known."""
 
     text: str
     tags: int
@@ -60,6 +69,7 @@ class Line:
     kind: str
     path: tuple[int, ...]
     boilerplate: bool
+    marks: tuple[int, ...] = ()
 
 
 @dataclass
@@ -68,6 +78,7 @@ class _Element:
     number: int
     boilerplate: bool
     unseen: bool
+    marked: bool = False
 
 
 def _names(attrs: dict[str, str | None]) -> set[str]:
@@ -83,6 +94,9 @@ class _Page(HTMLParser):
         self.lines: list[Line] = []
         self.open: list[_Element] = []
         self.articles: set[int] = set()
+        #: For each marked element and each article the marked elements around it; the articles that aren't in plain boilerplate, main elements first.
+        self.around: dict[int, tuple[int, ...]] = {}
+        self.bodies: list[tuple[bool, int]] = []
         self.named: set[int] = set()
         self.parts: set[int] = set()
         self.count = self.tags = self.linked = self.anchors = 0
@@ -92,10 +106,13 @@ class _Page(HTMLParser):
     def _end_line(self) -> None:
         text = _SPACE.sub(" ", "".join(self.text)).strip()
         if text:
-            self.lines.append(Line(text, self.tags, self.linked, self.kind, tuple(e.number for e in self.open if e.tag in CONTAINERS), any(e.boilerplate for e in self.open)))
+            self.lines.append(Line(text, self.tags, self.linked, self.kind, tuple(e.number for e in self.open if e.tag in CONTAINERS), any(e.boilerplate for e in self.open), self._marks()))
             self.tags = 0
         self.text, self.linked = [], 0
 
+    def _marks(self) -> tuple[int, ...]:
+        return tuple(e.number for e in self.open if e.marked)
+
     def _close(self, at: int) -> None:
         del self.open[at:]
 
@@ -120,28 +137,35 @@ class _Page(HTMLParser):
         if tag in BLOCKS or tag in UNSEEN:
             self.count += 1
             inside = any(e.tag in ("article", "main") for e in self.open)
-            self.open.append(_Element(tag, self.count, self._boilerplate(tag, dict(attrs), inside), tag in UNSEEN))
+            kind = self._boilerplate(tag, dict(attrs), inside)
+            if kind == MARKED or tag in ("article", "main"):
+                self.around[self.count] = self._marks()
+            self.open.append(_Element(tag, self.count, kind == PLAIN, tag in UNSEEN, kind == MARKED))
             if tag in ("article", "main"):
                 self.articles.add(self.count)
+                if not any(e.boilerplate for e in self.open):
+                    self.bodies.append((tag != "main", self.count))
             elif tag in PARTS:
                 self.parts.add(self.count)
             elif tag in CONTAINERS and tag != "body" and _names(dict(attrs)) & CONTENT_NAMES:
                 self.named.add(self.count)
 
-    def _boilerplate(self, tag: str, attrs: dict[str, str | None], inside: bool) -> bool:
-        """Whether the element's name, role or class says that it isn't the article. ``inside``: it stands in an article or main element."""
+    def _boilerplate(self, tag: str, attrs: dict[str, str | None], inside: bool) -> int:
+        """PLAIN if the element's name or role says that it isn't the article, MARKED if its class says so or it is a form, else 0. ``inside``: it stands in an
+        article or main element."""
         get = lambda name: (attrs.get(name) or "").lower()
         if "hidden" in attrs or get("aria-hidden") == "true" or _HIDDEN.search(get("style")):
-            return True
+            return PLAIN
         if tag in ("html", "body"):
-            return False
-        if tag in BOILERPLATE_TAGS or tag == "header" and not inside or get("role") in BOILERPLATE_ROLES:
-            return True
+            return 0
+        if tag != "form" and tag in BOILERPLATE_TAGS or tag == "header" and not inside or get("role") in BOILERPLATE_ROLES:
+            return PLAIN
         names = _names(attrs)
-        found = names & BOILERPLATE_NAMES
+        tokens = [_names({"id": x}) for x in f"{attrs.get('class') or ''} {attrs.get('id') or ''}".split()] if names & BOILERPLATE_NAMES else []
+        found = {n for t in tokens if not t & LAYOUT_NAMES for n in t & BOILERPLATE_NAMES}
         if tag in ("header", "hgroup") or _HEADING.match(tag) or names & CONTENT_NAMES:
             found -= OWN_HEADER
-        return bool(found)
+        return MARKED if found or tag == "form" else 0
 
     def handle_endtag(self, tag: str) -> None:
         self.tags += 1
@@ -166,6 +190,37 @@ class _Page(HTMLParser):
                 self.linked += len(data.strip())
 
 
+def _excused(page: _Page) -> set[int]:
+    """Marked elements that are wrappers of the article.
+
+    If all article and main elements are in marked elements, those around the main one (a main element, or else the longest article that isn't marked itself, or the page's only one with a heading) are
+    wrappers, unless more text than it has stands outside. If no line of prose stands outside of marked elements, the one with most text is a wrapper, and then within it alike; it has two lines of prose at least.
+    """
+    excused: set[int] = set()
+    if not any(x.marks for x in page.lines):
+        return excused
+    prose: dict[int, int] = {}
+    size: dict[int, int] = {}
+    for x in page.lines:
+        if not x.boilerplate:
+            for n in {*x.marks, *x.path}:
+                size[n] = size.get(n, 0) + len(x.text)
+                prose[n] = prose.get(n, 0) + (len(x.text) >= PROSE and x.linked <= len(x.text) / 2)
+    plain = lambda: [x for x in page.lines if not x.boilerplate and excused.issuperset(x.marks)]
+    marked = {m for x in page.lines for m in x.marks}
+    own = [(k, n) for k, n in page.bodies if n not in marked] or [(k, n) for k, n in page.bodies if len(page.bodies) == 1 and not page.around[n] and any(x.kind in ("h1", "h2") and n in x.path for x in page.lines)]
+    if own and all(page.around[n] for _, n in own if n not in marked):
+        _, body = min(own, key=lambda b: (b[0], -size.get(b[1], 0)))
+        if size.get(body, 0) >= max(1, sum(len(x.text) for x in plain())):
+            excused |= {*page.around[body], body}
+    while not any(len(x.text) >= PROSE and x.linked <= len(x.text) / 2 for x in plain()):
+        left = [n for n in marked - excused if prose.get(n, 0) > 1 and excused.issuperset(page.around[n])]
+        if not left:
+            break
+        excused.add(min(left, key=lambda n: (-size[n], n)))
+    return excused
+
+
 def page_lines(html: str | None) -> tuple[list[Line], set[int], set[int], set[int]]:
     """The lines of a page and the numbers of its article and main elements, of the elements with an article's name, and of lists, quotes and the like."""
     page = _Page()
@@ -175,6 +230,9 @@ def page_lines(html: str | None) -> tuple[list[Line], set[int], set[int], set[in
     page.feed(html[:last] if last >= 0 and _OPENING.match(html, last) else html)
     page.close()
     page._end_line()
+    excused = _excused(page)
+    for x in page.lines:
+        x.boilerplate = x.boilerplate or any(m not in excused for m in x.marks)
     return page.lines, page.articles, page.named, page.parts
 
 

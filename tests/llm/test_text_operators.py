@@ -165,6 +165,34 @@ def test_short_paragraphs_beside_a_dominant_list():
     assert main_text(page).split("\n\n") == ["One.", *[BULK.strip()] * 5, "Two.", "Three."]
 
 
+@pytest.mark.parametrize(
+    ("start", "end"),
+    [
+        ("<div class='layout with-sidebar'>", "</div>"),
+        ("<div id=page class='has-comments'>", "</div>"),
+        ("<div class=hasSidebar><article>", "</article></div>"),
+        ("<article class='post share-enabled'>", "</article>"),
+        ("<form><div>", "</div></form>"),
+        ("<form id=form1><div class=banner><main>", "</main></div></form>"),
+        ("<div class=widget><div class=overlay>", "</div></div>"),
+        (f"<p>{LONG}</p><article class='related'>", "</article>"),
+    ],
+)
+def test_wrappers_with_names_of_boilerplate(start, end):
+    menu, comments = f"<div class=main-menu><a href=1>one</a></div><div class=notice>{LONG}</div>", f"<div id=comments><article class=comment><p>{LONG}</p></article><p>{LONG}</p></div>"
+    body = f"<h1>Head</h1><p>{BULK}</p><p>Short.</p><p>{LONG}</p>"
+    inside, outside = start.startswith(("<div", "<form")), [LONG.strip()] if start.startswith("<p") and "article" not in start else []
+    page = f"<body>{start}{menu if inside and 'main' not in start else ''}{body}<div class='share-buttons'>Share</div>{comments if inside else ''}{end}</body>"
+    assert main_text(page).split("\n\n") == [*outside, "Head", BULK.strip(), "Short.", LONG.strip()]
+
+
+def test_named_boilerplate_stays_out_beside_an_article():
+    teasers = f"<section class=related-posts><article><p>{LONG * 2}</p></article><article><p>{LONG}</p></article></section>"
+    for body in (f"<article><p>{LONG}</p></article>", f"<div><p>{LONG * 3}</p></div>"):
+        page = f"<body>{body}{teasers}<div id=comments><article class=comment><p>{BULK}</p><p>{BULK}</p></article></div><form><p>{BULK}</p><p>{BULK}</p></form></body>"
+        assert main_text(page) in ((LONG * 3).strip(), LONG.strip())
+
+
 @pytest.mark.parametrize("page", [None, "", "   ", "<nav>only menu</nav>", "<script>x</script>", "<p></p>", "<!-- a -->"])
 def test_pages_without_text(page):
     assert main_text(page) == ""
