@@ -243,21 +243,27 @@ def score(model: TextCnn, vocabulary: Vocabulary, texts: list[str]) -> np.ndarra
 
 def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, per_class: int, sample_bytes: int) -> tuple[list[str], list[int], tuple[float, float]]:
     """At most ``per_class`` labelled texts of each class, those with the least hash of their identifier, and at most ``sample_bytes`` of characters. Rows whose crc32(identifier as text) mod 5 is
-    0 are never used. Only these rows reach the driver."""
+    0 are never used. A text that does not fit is left out, and others take its room; if none of a class fits, that is an error. Only these rows reach the driver."""
     key = F.col(id_col).cast("long")
     rows = labels.select(key.alias("doc_id"), F.col(label_col).cast("int").alias("y")).where("y IN (0, 1) AND crc32(CAST(CAST(doc_id AS STRING) AS BINARY)) % 5 <> 0").groupBy("doc_id").agg(F.max("y").alias("y"))
     totals = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     order = F.xxhash64("doc_id"), F.col("doc_id")
     some = rows.where("y = 0").orderBy(*order).limit(per_class).unionAll(rows.where("y = 1").orderBy(*order).limit(per_class))
-    texts, found, held = [], [], 0
     source = docs.select(key.alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     # At most 2 * per_class identifiers are broadcast.
-    for r in sorted(source.join(F.broadcast(some), "doc_id").dropDuplicates(["doc_id"]).collect(), key=lambda r: (zlib.crc32(str(r["doc_id"]).encode()), r["doc_id"])):
-        held += len(r["text"])
-        if held > sample_bytes:
-            break
-        texts.append(r["text"])
-        found.append(r["y"])
+    sample = sorted(source.join(F.broadcast(some), "doc_id").dropDuplicates(["doc_id"]).collect(), key=lambda r: (zlib.crc32(str(r["doc_id"]).encode()), r["doc_id"]))
+    chosen, held = set(), 0
+    # Each class up to half of the room, then whatever else fits.
+    for y, room in ((0, sample_bytes // 2), (1, sample_bytes // 2), (None, sample_bytes)):
+        own = 0 if y is not None else held
+        for i, r in enumerate(sample):
+            if i not in chosen and y in (None, r["y"]) and own + len(r["text"]) <= room:
+                chosen.add(i)
+                own += len(r["text"])
+        held = held + own if y is not None else own
+    texts, found = [sample[i]["text"] for i in sorted(chosen)], [sample[i]["y"] for i in sorted(chosen)]
+    if without := {r["y"] for r in sample} - set(found):
+        raise ValueError(f"no text of class {sorted(without)} fits in sample_bytes={sample_bytes}")
     got = {y: max(1, found.count(y)) for y in (0, 1)}
     return texts, found, (totals.get(0, 0) / got[0], totals.get(1, 0) / got[1])
 

@@ -70,6 +70,20 @@ def test_labels_of_held_out_rows_are_not_read(spark, fitted):
     assert np.array_equal(again.embedding, model.embedding) and np.array_equal(again.thresholds, model.thresholds)
 
 
+def test_a_text_over_the_sample_size_is_left_out(spark):
+    rows, labels = labelled(60)
+    first = min((i for i, _, _ in labels if zlib.crc32(str(i).encode()) % 5), key=lambda i: zlib.crc32(str(i).encode()))
+    rows = [(i, "x" * 50_000 if i == first else t, *rest) for i, t, *rest in rows]
+    table = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    read = lambda size: tox.training_rows(documents(spark, rows), table, "doc_id", "text", "toxic", 100, size)
+    used = sum(1 for i, _, _ in labels if zlib.crc32(str(i).encode()) % 5)
+    texts, found, _ = read(40_000)
+    assert len(texts) == used - 1 and set(found) == {0, 1}
+    assert len(read(200_000)[0]) == used
+    with pytest.raises(ValueError, match="class"):
+        read(4)
+
+
 def test_without_labels_nothing_is_toxic(spark):
     docs = documents(spark, [(1, "moron", "en", "s", 1)])
     model = tox.fit(docs, spark.createDataFrame([], "doc_id long, quality int, toxic int"))
