@@ -7,6 +7,7 @@ there; the fragments are encoded independently and their identifiers concatenate
 from __future__ import annotations
 
 import hashlib
+import heapq
 import json
 import struct
 import unicodedata
@@ -50,7 +51,10 @@ class ForcedBoundaryBpe:
     library does for a file without decoder.
     """
 
-    MEMO = 200_000
+    #: Bytes of the memo of words, about; it is emptied when full, and a word that takes a thousandth of it is not kept.
+    MEMO = 96 << 20
+    #: Symbols from which on a fragment is merged with a heap.
+    LONG = 48
 
     def __init__(self, path: str) -> None:
         with open(path, encoding="utf-8") as f:
@@ -72,6 +76,7 @@ class ForcedBoundaryBpe:
         self.merges = {(self.vocab[a], self.vocab[b]): rank << 24 | self.vocab[a + b] for rank, (a, b) in enumerate(pairs)}
         self.inside = self._pairs_inside()
         self.memo: dict[str, tuple[bytes, int, str]] = {}
+        self.held = 0
 
     def _base(self, token: str) -> list[int]:
         """The base symbols of a token, the last with its suffix."""
@@ -101,6 +106,8 @@ class ForcedBoundaryBpe:
 
     def _merge(self, ids: list[int]) -> list[int]:
         """Merge the pair of least rank, the leftmost first, until none is left. Only the neighbours of a merge get new ranks."""
+        if len(ids) > self.LONG:
+            return self._merge_long(ids)
         get = self.merges.get
         found = [get(p, NONE) for p in zip(ids, ids[1:], strict=False)]
         while found and (least := min(found)) != NONE:
@@ -113,15 +120,42 @@ class ForcedBoundaryBpe:
                 found[i] = get((new, ids[i + 1]), NONE)
         return ids
 
+    def _merge_long(self, ids: list[int]) -> list[int]:
+        """The same with a heap of pairs over a linked list: n log n, where a list takes the square. A pair that a merge has broken is passed over when it comes up."""
+        get, end = self.merges.get, len(ids)
+        after, before = [*range(1, end + 1)], [*range(-1, end - 1)]
+        heap = [(value, i) for i, pair in enumerate(zip(ids, ids[1:], strict=False)) if (value := get(pair)) is not None]
+        heapq.heapify(heap)
+        while heap:
+            value, i = heapq.heappop(heap)
+            j = after[i]
+            if ids[i] < 0 or j == end or get((ids[i], ids[j])) != value:
+                continue
+            ids[i], ids[j] = value & 0xFFFFFF, -1
+            after[i] = k = after[j]
+            if k < end:
+                before[k] = i
+                if (found := get((ids[i], ids[k]))) is not None:
+                    heapq.heappush(heap, (found, i))
+            h = before[i]
+            if h >= 0 and (found := get((ids[h], ids[i]))) is not None:
+                heapq.heappush(heap, (found, h))
+        return [i for i in ids if i >= 0]
+
     def word(self, word: str) -> tuple[bytes, int, str]:
         """Identifiers as little-endian bytes, their number, and the decoded tokens."""
         data = word.encode()
         base = [self.inner[b] for b in data]
         base[-1] = self.last[data[-1]]
         ids = [i for part in self.fragments(base) for i in self._merge(part)]
-        if len(self.memo) >= self.MEMO:
-            self.memo.clear()
-        found = self.memo[word] = struct.pack(f"<{len(ids)}I", *ids), len(ids), " ".join([self.strings[i] for i in ids])
+        found = struct.pack(f"<{len(ids)}I", *ids), len(ids), " ".join([self.strings[i] for i in ids])
+        size = 4 * len(word) + len(found[0]) + len(found[2]) + 300
+        if size <= self.MEMO // 1000:
+            if self.held + size > self.MEMO:
+                self.memo.clear()
+                self.held = 0
+            self.held += size
+            self.memo[word] = found
         return found
 
     def _normal(self, text: str) -> str:

@@ -2,6 +2,7 @@ import hashlib
 import os
 import random
 import re
+import time
 
 import pytest
 
@@ -54,6 +55,34 @@ def test_forced_boundaries_change_nothing(bpe):
     assert cut > 100
 
 
+def test_long_words_equal_the_library(bpe):
+    own, library = bpe
+    r = random.Random(6)
+    words = ["".join(r.choice(letters) for _ in range(n)) for letters, n in (("etaoinshrdlu", 3000), ("ab", 5000), ("a", 4097), ("abcdefghijklmnopqrstuvwxyz", 20_000), ("é日a", 2000))]
+    for text in (*words, " ".join(words)):
+        assert own.encode(text) == library.encode(text, add_special_tokens=False).ids
+
+
+def test_a_word_of_a_million_letters_takes_seconds(bpe):
+    own, _ = bpe
+    r = random.Random(7)
+    word = "".join(r.choice("etaoinshrdlu") for _ in range(1_000_000))
+    began = time.perf_counter()
+    ids = own.encode(word)
+    assert time.perf_counter() - began < 60
+    assert "".join(own.strings[i] for i in ids).replace("</w>", "") == word
+    assert word not in own.memo
+
+
+def test_the_memo_is_bounded_by_bytes(bpe, monkeypatch):
+    own = ForcedBoundaryBpe(queries.WORD_BPE)
+    monkeypatch.setattr(own, "MEMO", 400_000)
+    r = random.Random(8)
+    for _ in range(3000):
+        own.encode("".join(r.choice("etaoin") for _ in range(r.choice([3, 12, 600]))))
+        assert own.held <= own.MEMO and sum(4 * len(w) for w in own.memo) <= own.held
+
+
 def test_bpe_rows(spark, bpe):
     own, _ = bpe
     rows = [*hard_rows(n=40), (None, "x", None, None, None), (7, "x", None, None, None)]
