@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomspark.llm.common import Scratch
+from loomspark.llm.common import Scratch, fresh
 
 
 def _lines(text: Column) -> Column:
@@ -57,12 +57,13 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     many documents share. The only whole texts moved are those joined with their own removed lines.
     """
     scratch = Scratch(docs.sparkSession, "lines")
-    marks = scratch.save(repeated_windows(docs, id_col, text_col, width), "marks").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), F.col("starts").alias("__starts"))
+    key, hashed, starts = fresh(docs, "key", "hashed", "starts")
+    marks = scratch.save(repeated_windows(docs, id_col, text_col, width), "marks").select(F.col("doc_id").alias(key), F.col("text_hash").alias(hashed), F.col("starts").alias(starts))
     text = F.col(text_col).cast("string")
-    same = docs[id_col].cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64(F.coalesce(docs[text_col].cast("string"), F.lit(""))) == F.col("__hash"))
+    same = docs[id_col].cast("long").eqNullSafe(F.col(key)) & (F.xxhash64(F.coalesce(docs[text_col].cast("string"), F.lit(""))) == F.col(hashed))
     # A sort-merge join at every size: texts are shuffled once, and nothing is broadcast that grows with the input.
     joined = docs.join(marks.hint("merge"), same, "left")
-    covered = F.array_sort(F.array_distinct(F.flatten(F.transform("__starts", lambda s: F.sequence(s, s + width - 1)))))
+    covered = F.array_sort(F.array_distinct(F.flatten(F.transform(starts, lambda s: F.sequence(s, s + width - 1)))))
 
     def between(s: Column, j: Column) -> Column:
         """The kept lines after the j-th removed one, up to the next."""
@@ -75,7 +76,7 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     # Bound to a lambda variable, the lines and the removed positions are computed once for each document.
     bound = F.array(F.struct(_lines(text).alias("lines"), covered.alias("gone")))
-    touched = F.col("__starts").isNotNull()
+    touched = F.col(starts).isNotNull()
     new = {"lines_removed": F.when(touched, F.size(covered)).otherwise(F.lit(0)), "n_lines": F.when(text.isNull(), F.lit(0)).otherwise(F.size(_lines(text)))}
     own = [F.when(touched, F.get(F.transform(bound, kept), F.lit(0))).otherwise(text).alias(text_col) if c == text_col else docs[c] for c in docs.columns if c not in ("lines_removed", "lines_kept")]
     return joined.select(*own, new["lines_removed"].alias("lines_removed"), (new["n_lines"] - new["lines_removed"]).alias("lines_kept"))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 WORDS = "ab the of x long lorem ipsum é dolor sit amet Straße".split()
 #: Columns that operators use inside themselves, to see that an input may have them too.
-CLASHING = ("fp", "rep", "doc", "tag", "line", "lines", "digest", "entry", "class", "shard", "slot", "size", "part", "text_hash", "h", "w", "members", "host", "rule", "score", "ids", "lines_removed")
+CLASHING = ("fp", "rep", "doc", "tag", "line", "lines", "digest", "entry", "class", "shard", "slot", "size", "part", "text_hash", "h", "w", "members", "host", "rule", "score", "ids", "lines_removed", "__starts", "__gone", "key", "hashed", "starts", "gone", "n", "kept", "component_id", "sets")
 
 
 def prose(r: random.Random, n: int) -> str:
