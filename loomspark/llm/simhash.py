@@ -1,20 +1,19 @@
 """SimHash near-duplicates by a self-join of a binary trie over the fingerprints.
 
 Pairs of trie nodes are traversed together; the bits in which they differ are added up, and a pair is left as soon as they exceed the
-budget. The node pairs at one depth are the units that are dealt out; below it each is traversed within a task.
+budget. The trie is joined in several views, each of which puts another segment of the bits first and allows no difference in it; the nodes below that segment are what is dealt out.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
-from itertools import combinations
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -58,15 +57,17 @@ def _prints(shingle: int):
     return run
 
 
-def trie_join(a: np.ndarray, b: np.ndarray | None, budget: int, depth: int = 0) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def trie_join(a: np.ndarray, b: np.ndarray | None, budget: int, depth: int = 0, nodes: tuple[np.ndarray, np.ndarray] | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Index pairs (i, j) with at most ``budget`` bits between a[i] and b[j] below the first ``depth`` bits; a and b are sorted, unsigned and equal in those
-    bits. b None: the pairs within a, each once.
+    bits. b None: the pairs within a, each once; ``nodes`` are then the first and last-plus-one places of the nodes to join with themselves, each sorted.
 
     A node is a range of a sorted array; a level of pairs is expanded at once. A pair of small nodes is compared directly.
     """
     own = b is None
     b = a if own else b
-    todo = [(np.array([0]), np.array([len(a)]), np.array([0]), np.array([len(b)]), np.array([0]), depth)]
+    lo, hi = nodes if nodes is not None else (np.array([0]), np.array([len(a)]))
+    todo = [(lo[k : k + (1 << 20)], hi[k : k + (1 << 20)]) for k in range(0, len(lo), 1 << 20)]
+    todo = [(x, y, *((x, y) if own else (np.array([0]), np.array([len(b)]))), np.zeros(len(x), np.int64), depth) for x, y in todo]
     zeros: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
     def below(bit: int) -> tuple[np.ndarray, np.ndarray]:
@@ -144,58 +145,114 @@ def _forest(ids: np.ndarray, pairs: Iterator[tuple[np.ndarray, np.ndarray]]) ->
     return ids[far], star[far]
 
 
-def _join_task(budget: int, depth: int):
+#: Bits below a node's prefix of which every value may occur in a task.
+TAIL = 16
+#: Rows of a bucket, on the average.
+BUCKET = 250_000
+
+
+class View:
+    """An order of the fingerprint's bits and a depth: the trie over the bits in that order, in whose first ``depth`` levels a pair may not differ."""
+
+    def __init__(self, order: tuple[int, ...], depth: int) -> None:
+        self.order, self.depth = order, depth
+
+    def split(self, parts: int) -> list[View]:
+        """A pair that differs in fewer than ``parts`` of the bits below the prefix agrees on one of as many segments of them; each leads a view of its own."""
+        rest = self.order[self.depth :]
+        cuts = [round(k * len(rest) / parts) for k in range(parts + 1)]
+        pieces = [rest[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+        return [View((*self.order[: self.depth], *p, *(x for o in pieces if o is not p for x in o)), self.depth + len(p)) for p in pieces]
+
+    def prints(self, fp: Column) -> Column:
+        """The fingerprint with its bits in this order; runs of neighbours are shifted at once."""
+        out, at = F.lit(0).cast("long"), 0
+        while at < BITS:
+            n = 1
+            while at + n < BITS and self.order[at + n] == self.order[at] + n:
+                n += 1
+            piece = F.shiftrightunsigned(fp, BITS - self.order[at] - n) if self.order[at] + n < BITS else fp
+            piece = piece.bitwiseAND(F.lit((1 << n) - 1).cast("long")) if n < BITS else piece
+            out = out.bitwiseOR(F.shiftleft(piece, BITS - at - n) if at + n < BITS else piece)
+            at += n
+        return out
+
+    def row(self, number: int) -> Column:
+        turned = self.prints(F.col("fp"))
+        return F.struct(F.lit(number).alias("view"), turned.alias("turned"), F.shiftrightunsigned(turned, BITS - self.depth).alias("node"))
+
+
+def _join_task(budget: int, depths: list[int]):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        fp = rows["fp"].to_numpy(np.int64).view(np.uint64)
-        rep, first = rows["rep"].to_numpy(np.int64), rows["first"].to_numpy(bool)
-        order = np.lexsort((fp, ~first))
-        fp, rep, first = fp[order], rep[order], first[order]
-        n = int(first.sum())
-        if n == len(fp):
-            pairs = trie_join(fp, None, budget, depth)
-        elif n:
-            spent = int(np.bitwise_count((fp[0] ^ fp[n]) >> np.uint64(BITS - depth)))
-            pairs = ((i, j + n) for i, j in trie_join(fp[:n], fp[n:], budget - spent, depth))
-        else:  # the other node is empty
-            pairs = iter(())
-        u, v = _forest(rep, pairs)
+        fp, rep, view = rows["turned"].to_numpy(np.int64).view(np.uint64), rows["rep"].to_numpy(np.int64), rows["view"].to_numpy()
+        order = np.lexsort((fp, view))
+        fp, rep, view = fp[order], rep[order], view[order]
+
+        def pairs() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+            for v in np.unique(view):
+                at, end = np.searchsorted(view, v), np.searchsorted(view, v, "right")
+                part = fp[at:end]
+                node = part >> np.uint64(BITS - depths[v])
+                lo = np.flatnonzero(np.concatenate([[True], node[1:] != node[:-1]]))
+                hi = np.append(lo[1:], len(part))
+                shared = hi - lo > 1
+                for i, j in trie_join(part, None, budget, depths[v], (lo[shared], hi[shared])):
+                    yield i + at, j + at
+
+        u, v = _forest(rep, pairs())
         return pd.DataFrame({"u": u, "v": v})
 
     return run
 
 
-def links(prints: DataFrame, budget: int, depth: int) -> DataFrame:
-    """``u, v``: edges between representatives that connect just what the links within ``budget`` bits connect. ``prints`` is ``fp, rep`` with distinct fp.
+def links(prints: DataFrame, budget: int, node_size: int, n: int, scratch: Scratch) -> DataFrame:
+    """``u, v``: edges between representatives that connect just what the links within ``budget`` bits connect. ``prints`` is ``fp, rep`` with ``n`` distinct fp.
 
-    A fingerprint goes to each pair of nodes at ``depth`` bits that its own node forms with one at most ``budget`` bits away. Within a pair of nodes
-    only a forest is emitted, never all pairs of a group.
+    A pair within ``budget`` bits agrees on one of ``budget + 1`` segments of the bits. Each segment leads one view of the trie, in which node pairs may differ only below
+    that segment; so a fingerprint is dealt to ``budget + 1`` nodes, however many there are. A node of more than ``node_size`` fingerprints is dealt on in the same
+    way by the bits below, until it is small or has few bits left. Within a task only a forest is emitted, never all pairs of a group.
     """
-    masks = [sum(1 << k for k in bits) for n in range(min(budget, depth) + 1) for bits in combinations(range(depth), n)]
-    own = F.shiftrightunsigned("fp", BITS - depth) if depth else F.lit(0).cast("long")
-    rows = prints.select("fp", "rep", own.alias("own")).select("fp", "rep", "own", F.explode(F.array(*map(F.lit, masks))).alias("mask"))
-    other = F.col("own").bitwiseXOR(F.col("mask").cast("long"))
-    dealt = rows.select("fp", "rep", F.least("own", other).alias("low"), F.greatest("own", other).alias("high"), (F.col("own") <= other).alias("first"))
-    return dealt.groupBy("low", "high").applyInPandas(_join_task(budget, depth), _EDGE)
-
-
-def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, budget: int = 2, node_size: int = 4096) -> DataFrame:
+    spark = prints.sparkSession
+    views = View(tuple(range(BITS)), 0).split(budget + 1)
+    rows = prints.select("fp", "rep", F.explode(F.array(*(v.row(k) for k, v in enumerate(views)))).alias("r")).select("fp", "rep", "r.*")
+    found, count, level = [], n * len(views), 0
+    while True:
+        cold, hot = rows, None
+        large = [k for k, v in enumerate(views) if BITS - v.depth > TAIL]
+        if n > node_size and large:
+            hot = scratch.save(rows.where(F.col("view").isin(large)).groupBy("view", "node").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > node_size), f"hot{level}")
+            total = hot.agg(F.sum("n")).first()[0]
+            if total:
+                cold = rows.join(hot.hint("merge"), ["view", "node"], "left_anti")
+        buckets = max(2 * shuffle_partitions(spark), count // BUCKET)
+        dealt = cold.select("turned", "rep", "view", F.pmod(F.xxhash64("view", "node"), F.lit(buckets)).cast("int").alias("bucket"))
+        found.append(scratch.save(dealt.groupBy("bucket").applyInPandas(_join_task(budget, [v.depth for v in views]), _EDGE), f"links{level}"))
+        if hot is None or not total:
+            return reduce(DataFrame.unionAll, found)
+        rows = scratch.save(rows.join(hot.hint("merge"), ["view", "node"], "left_semi").select("fp", "rep", "view"), f"rows{level}")
+        below = {k: views[k].split(budget + 1) for k in large}
+        at = {k: i * (budget + 1) for i, k in enumerate(large)}
+        deal = [rows.where(F.col("view") == k).select("fp", "rep", F.explode(F.array(*(v.row(at[k] + i) for i, v in enumerate(below[k])))).alias("r")) for k in large]
+        rows, views = reduce(DataFrame.unionAll, deal).select("fp", "rep", "r.*"), [v for k in large for v in below[k]]
+        count, level = total * (budget + 1), level + 1
+
+
+def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, budget: int = 2, node_size: int = 1 << 16) -> DataFrame:
     """One row per input row: ``doc_id, fingerprint, component_id``.
 
     Fingerprints link at ``budget`` or fewer differing bits; ``component_id`` is the smallest identifier reachable over links, itself
     included. A null or blank text has fingerprint zero, linked like any other. Rows without identifier get a fingerprint but link nothing, and
     their component is null; repeated rows give repeated rows. An empty table gives an empty result; other columns are not read.
 
-    Equal fingerprints are one trie leaf, so a text with a third of all rows is one entry. ``node_size`` is the mean number of fingerprints in a
-    dealt node; it sets the depth, nothing is left out for a larger node.
+    Equal fingerprints are one trie leaf, so a text with a third of all rows is one entry. A node of more than ``node_size`` fingerprints is dealt on by
+    further bits; nothing is left out for a larger node.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "simhash")
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     prints = scratch.save(source.mapInArrow(_prints(shingle), _PRINT), "prints")
     leaves = scratch.save(prints.where("doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("rep")), "leaves")
-    n = leaves.count()
-    depth = min(24, max(0, math.ceil(math.log2(max(1, n) / node_size))))
-    edges = scratch.save(links(leaves.repartition(shuffle_partitions(spark)), budget, depth), "links")
+    edges = links(leaves, budget, node_size, leaves.count(), scratch)
     groups = components(edges, scratch)
     labels = leaves.join(groups, leaves["rep"] == groups["node"], "left").select("fp", F.coalesce("component", "rep").alias("component_id"))
     out = prints.join(labels, "fp", "left")

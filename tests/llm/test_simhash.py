@@ -50,7 +50,7 @@ def test_trie_join_finds_all_pairs(budget):
     assert sorted(got) == sorted(want)
 
 
-@pytest.mark.parametrize("node_size", [4096, 4])
+@pytest.mark.parametrize("node_size", [1 << 16, 4])
 def test_groups_equal_brute_force(spark, node_size):
     rows = hard_rows(n=90)
     prints = {r[0]: brute_print(r[1]) for r in rows}
