@@ -9,8 +9,8 @@ from loomspark.llm.bpe import bpe_encode
 from loomspark.llm.common import Scratch
 from loomspark.llm.decontam import decontaminate
 from loomspark.llm.linededup import line_dedup
+from loomspark.llm.neardup import near_duplicates as without_near_duplicates
 from loomspark.llm.queries import WORD_BPE, table
-from loomspark.llm.simhash import simhash_representatives
 from loomspark.llm.toxicity import fit, without_toxic
 
 
@@ -28,8 +28,9 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of documents that SimHash links connect, the one with the smallest identifier stays."""
-    return simhash_representatives(docs)
+    """Of each group of documents that links connect, the one with the smallest identifier stays. A link is a Jaccard similarity of 0.8 or more over five-word shingles;
+    SimHash finds the candidates."""
+    return without_near_duplicates(docs)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
