@@ -257,10 +257,3 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     labels = leaves.join(groups, leaves["rep"] == groups["node"], "left").select("fp", F.coalesce("component", "rep").alias("component_id"))
     out = prints.join(labels, "fp", "left")
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
-
-
-def simhash_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, budget: int = 2) -> DataFrame:
-    """The rows of ``docs``, with their columns, that stand for their group: those whose identifier is the component. Rows without identifier stay."""
-    groups = simhash_groups(docs, id_col, text_col, shingle, budget)
-    gone = groups.where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone.hint("merge"), docs[id_col].cast("long") == F.col("__gone"), "left_anti")

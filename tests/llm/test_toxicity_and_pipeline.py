@@ -118,7 +118,7 @@ def test_pipeline_stages_equal_brute_force(spark, tmp_path):
     import re
 
     import corpus_pipeline
-    from tests.llm.test_simhash import brute_components, brute_print
+    from tests.llm.test_neardup import kept_by_brute_force
     from tests.llm.test_text_operators import brute_lines
 
     rows, labels = labelled(300)
@@ -146,8 +146,7 @@ def test_pipeline_stages_equal_brute_force(spark, tmp_path):
     assert all(r["n_chars"] == len(r["text"]) for r in cut.collect() if want[r["doc_id"]][1])
 
     one = stages["simhash"](spark, cut, str(tmp_path))
-    label = brute_components({r["doc_id"]: brute_print(r["text"]) for r in cut.collect()}, 2)
-    assert one.columns == columns and {r["doc_id"] for r in one.collect()} == set(label.values())
+    assert one.columns == columns and {r["doc_id"] for r in one.collect()} == kept_by_brute_force([(r["doc_id"], r["text"]) for r in cut.collect()])
 
     left = stages["decontamination"](spark, one, str(tmp_path))
     assert left.columns == columns and {r["doc_id"] for r in one.collect()} - {r["doc_id"] for r in left.collect()} == {9000}
