@@ -39,13 +39,11 @@ BOILERPLATE_NAMES = frozenset(
 )
 #: Beside one of these, a header is the article's own.
 CONTENT_NAMES = frozenset("article content post story entry".split())
-#: Lists, quotes and the like are parts of an article, never all of it.
-PARTS = frozenset("blockquote details dl figure li ol ul".split())
+#: Lists, quotes, tables and the like are parts of an article, never all of it.
+PARTS = frozenset("blockquote details dl figure li ol table td tr ul".split())
 OWN_HEADER = frozenset("header head banner".split())
 #: A class such as with-sidebar or has-comments tells of a layout, not what the element is.
 LAYOUT_NAMES = frozenset("with without has have no enabled disabled layout".split())
-#: A line of prose has so many characters, at most half of them linked.
-PROSE = 40
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
 _NAME = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
@@ -70,6 +68,8 @@ class Line:
     path: tuple[int, ...]
     boilerplate: bool
     marks: tuple[int, ...] = ()
+    dense: bool = False
+    weight: float = 0.0
 
 
 @dataclass
@@ -194,7 +194,7 @@ def _excused(page: _Page) -> set[int]:
     """Marked elements that are wrappers of the article.
 
     If all article and main elements are in marked elements, those around the main one (a main element, or else the longest article that isn't marked itself, or the page's only one with a heading) are
-    wrappers, unless more text than it has stands outside. If no line of prose stands outside of marked elements, the one with most text is a wrapper, and then within it alike; it has two lines of prose at least.
+    wrappers, unless more text than it has stands outside. If no line of a tenth of the mean ratio and no unmarked article stands outside of marked elements, the one with most text is a wrapper, and then within it alike; it has two dense lines at least.
     """
     excused: set[int] = set()
     if not any(x.marks for x in page.lines):
@@ -205,7 +205,7 @@ def _excused(page: _Page) -> set[int]:
         if not x.boilerplate:
             for n in {*x.marks, *x.path}:
                 size[n] = size.get(n, 0) + len(x.text)
-                prose[n] = prose.get(n, 0) + (len(x.text) >= PROSE and x.linked <= len(x.text) / 2)
+                prose[n] = prose.get(n, 0) + x.dense
     plain = lambda: [x for x in page.lines if not x.boilerplate and excused.issuperset(x.marks)]
     marked = {m for x in page.lines for m in x.marks}
     own = [(k, n) for k, n in page.bodies if n not in marked] or [(k, n) for k, n in page.bodies if len(page.bodies) == 1 and not page.around[n] and any(x.kind in ("h1", "h2") and n in x.path for x in page.lines)]
@@ -213,7 +213,8 @@ def _excused(page: _Page) -> set[int]:
         _, body = min(own, key=lambda b: (b[0], -size.get(b[1], 0)))
         if size.get(body, 0) >= max(1, sum(len(x.text) for x in plain())):
             excused |= {*page.around[body], body}
-    while not any(len(x.text) >= PROSE and x.linked <= len(x.text) / 2 for x in plain()):
+    free = {n for _, n in page.bodies if n not in marked and not page.around[n]}
+    while not any(x.weight > 0.1 or free.intersection(x.path) and x.linked <= len(x.text) / 2 for x in plain()):
         left = [n for n in marked - excused if prose.get(n, 0) > 1 and excused.issuperset(page.around[n])]
         if not left:
             break
@@ -230,6 +231,11 @@ def page_lines(html: str | None) -> tuple[list[Line], set[int], set[int], set[in
     page.feed(html[:last] if last >= 0 and _OPENING.match(html, last) else html)
     page.close()
     page._end_line()
+    for x, dense in zip(page.lines, clusters([x for x in page.lines if not x.boilerplate], page.lines), strict=True):
+        x.dense = dense
+    mean = np.mean([ratio(x) for x in page.lines if not x.boilerplate] or [0])
+    for x in page.lines:
+        x.weight = ratio(x) / mean if mean else 0.0
     excused = _excused(page)
     for x in page.lines:
         x.boilerplate = x.boilerplate or any(m not in excused for m in x.marks)
@@ -244,21 +250,45 @@ def smooth(ratios: np.ndarray, sigma: float) -> np.ndarray:
     return full / np.convolve(np.ones(len(ratios)), kernel)[reach : reach + len(ratios)]
 
 
-def content_lines(lines: list[Line], articles: set[int], named: set[int] = frozenset(), parts: set[int] = frozenset(), sigma: float = 1.0, strength: float = 1.0) -> list[Line]:
-    """The lines of the content region.
+def ratio(line: Line) -> float:
+    return max(0, len(line.text) - line.linked) / max(1, line.tags)
+
 
-    Ratios of lines that the markup calls boilerplate count as 0. Lines whose smoothed ratio is at least ``strength`` standard deviations, or half the mean if that is lower, are
-    content seeds. The region is the innermost element with most of the seeds' text, widened to the article or main element around it, and headings that stand directly before it. Without
-    such an element the region is the innermost one that holds all seeds, and no list or quote; it is widened to the outermost element with an article's name around it.
+def clusters(read: list[Line], lines: list[Line], sigma: float = 1.0, strength: float = 1.0) -> list[bool]:
+    """For each of ``lines`` whether it lies in a content cluster of the page that ``read`` makes up.
+
+    A line's ratio is that of its unlinked characters to the tags since the line before. The ratios are smoothed; neighbours of at least ``strength`` standard deviations, or half
+    the mean if that is lower, form a cluster. It neither begins nor ends with lines that reach half of that by their neighbours' ratios only.
     """
-    ratios = np.array([0.0 if x.boilerplate else len(x.text) / max(1, x.tags) for x in lines])
-    if not ratios.any():
-        return []
+    if not read:
+        return [False] * len(lines)
+    ratios = np.array([ratio(x) for x in read])
     smoothed = smooth(ratios, sigma)
     threshold = min(strength * float(smoothed.std()), float(ratios.mean()) / 2)
-    seeds = [x for x, s in zip(lines, smoothed, strict=True) if not x.boilerplate and s >= threshold and s > 0 and x.linked <= len(x.text) / 2]
+    over = (smoothed >= threshold) & (smoothed > 0)
+    own = ratios >= threshold / 2
+    run = np.cumsum(~over)
+    found: set[int] = set()
+    for k in np.unique(run[over]):
+        inside = np.flatnonzero(over & (run == k))
+        ends = inside[own[inside]]
+        if len(ends):
+            found.update(id(read[i]) for i in range(ends[0], ends[-1] + 1) if read[i].linked <= len(read[i].text) / 2)
+    return [id(x) in found for x in lines]
+
+
+def content_lines(lines: list[Line], articles: set[int], named: set[int] = frozenset(), parts: set[int] = frozenset(), sigma: float = 1.0, strength: float = 1.0) -> list[Line]:
+    """The lines of the content region.
+
+    All content clusters of the lines that the markup doesn't call boilerplate count, and all of their lines are kept. The article or main element with most of their text is the region, if it has
+    more than 60 % of it; what its markup doesn't call boilerplate is kept whole. Without such an element the region is the innermost one that holds all clusters, and no list or quote,
+    or the outermost one around it with an article's name. There, what lies between the clusters is kept, and beside them what stands directly in a container that holds some of their lines; a menu, a
+    line of small print or the like outside of them goes by its ratio alone. Headings before the first cluster are kept.
+    """
+    plain = [x for x in lines if not x.boilerplate]
+    seeds = [x for x, inside in zip(lines, clusters(plain, lines, sigma, strength), strict=True) if inside] or plain
     if not seeds:
-        seeds = [x for x in lines if not x.boilerplate]
+        return []
     mass: dict[int, int] = {}
     depth: dict[int, int] = {0: 0}
     for x in seeds:
@@ -268,22 +298,25 @@ def content_lines(lines: list[Line], articles: set[int], named: set[int] = froze
     most = max((n for n in mass if mass[n] > 0.6 * mass[0]), key=depth.__getitem__)
     around = next((x.path for x in seeds if most in x.path), ())
     region = next((n for n in around[: depth[most]] if n in articles), None)
+    whole_region = region is not None
     if region is None:
         whole = max((n for n in mass if mass[n] == mass[0]), key=depth.__getitem__)
         outer = around[: depth[whole]]
         while outer and outer[-1] in parts:
             outer = outer[:-1]
         region = next((n for n in outer if n in named), outer[-1] if outer else 0)
-    held = [region == 0 or region in x.path for x in lines]
-    first = held.index(True)
-    out = []
-    for i, x in enumerate(lines):
-        title = i < first and x.kind == "h1" and not x.boilerplate
-        # Lists of links are menus, but not in an article.
-        menu = region not in articles and x.kind in ("li", "div", "td", "ul") and x.linked > 0.8 * len(x.text)
-        if (held[i] and not x.boilerplate and not menu) or title:
-            out.append(x)
-    return out
+        whole_region = region in named
+    chosen = {id(x) for x in seeds}
+    homes = {0, *(n for x in seeds for n in x.path)}
+    places = [i for i, x in enumerate(lines) if id(x) in chosen]
+    first, last = places[0], places[-1]
+    held = [(region == 0 or region in x.path) and not x.boilerplate and (whole_region or id(x) in chosen or first <= i <= last or (x.path[-1] if x.path else 0) in homes) for i, x in enumerate(lines)]
+    begin = held.index(True)
+    # A heading before the region: the page's title, or one right before it.
+    for i in range(begin - 1, -1, -1):
+        if lines[i].kind == "h1" or lines[i].kind in ("h2", "h3", "hgroup") and all(held[i + 1 : begin + 1]):
+            held[i] = not lines[i].boilerplate
+    return [x for i, x in enumerate(lines) if held[i]]
 
 
 def main_text(html: str | None) -> str:

@@ -1,12 +1,14 @@
 import hashlib
+import math
 import os
 import random
 import re
 import time
 
+import numpy as np
 import pytest
 
-from loomspark.llm import queries
+from loomspark.llm import htmltext, queries
 from loomspark.llm.bpe import ForcedBoundaryBpe, bpe_encode
 from loomspark.llm.decontam import contained_items, decontaminate
 from loomspark.llm.htmltext import html_text, main_text
@@ -222,6 +224,67 @@ def test_named_boilerplate_stays_out_beside_an_article():
         assert main_text(page) in ((LONG * 3).strip(), LONG.strip())
 
 
+@pytest.mark.parametrize(
+    ("start", "end"),
+    [
+        ("<article class='post comments-open'>", "</article>"),
+        ("<div class='content no-sidebar'>", "</div>"),
+        ("<div class='has-search'><article>", "</article></div>"),
+        ("<article class='category-social'>", "</article>"),
+        ("<div class='page-with-sidebar comments-closed'><div>", "</div></div>"),
+    ],
+)
+def test_ordinary_class_names_keep_the_article(start, end):
+    page = f"<body><div><a href=1>Home</a> <a href=2>About</a></div>{start}<h2>Head</h2><p>{LONG * 2}</p><p>Short.</p><ul><li><a href=1>a source</a></ul><p>{LONG}</p>{end}<div class=sidebar><p>{LONG}</p></div></body>"
+    assert main_text(page).split("\n\n") == ["Head", (LONG * 2).strip(), "Short.", "a source", LONG.strip()]
+
+
+#: Pages that name nothing: what is no article there shows by its ratio of text to tags alone.
+UNNAMED = [
+    f"<body><div><a href=1>Home</a> <b>|</b> <i>Log in</i> <b>|</b> <i>Help</i></div><div><h1>Head</h1><p>{LONG * 2}</p><p>Short.</p><p>{LONG}</p></div><div><span>All</span> <span>rights</span> <b>kept</b></div></body>",
+    f"<body><table><tr><td><b>One</b><td><b>Two</b><td><b>Three</b></tr></table><section><h1>Head</h1><p>{LONG * 2}</p><p>Short.</p></section><section><p>{LONG}</p></section><div><i>Phone</i> <b>123</b></div></body>",
+]
+
+
+@pytest.mark.parametrize("page", UNNAMED)
+def test_ratios_decide_where_nothing_is_named(page):
+    assert main_text(page).split("\n\n") == ["Head", (LONG * 2).strip(), "Short.", LONG.strip()]
+
+
+@pytest.mark.parametrize("page", UNNAMED)
+def test_a_constant_ratio_changes_the_text(page, monkeypatch):
+    before = main_text(page)
+    monkeypatch.setattr(htmltext, "smooth", lambda ratios, sigma: np.ones(len(ratios)))
+    assert main_text(page) != before
+
+
+def brute_clusters(lines, sigma=1.0):
+    """The content lines by the definition: for each line a weighted mean of the ratios of all lines within three sigma."""
+    ratios = [max(0, len(x.text) - x.linked) / max(1, x.tags) for x in lines]
+    weight = lambda d: math.exp(-0.5 * (d / sigma) ** 2) if abs(d) <= 3 * sigma else 0.0
+    smoothed = [sum(weight(i - j) * r for j, r in enumerate(ratios)) / sum(weight(i - j) for j in range(len(ratios))) for i in range(len(ratios))]
+    mean, middle = sum(ratios) / len(ratios), sum(smoothed) / len(smoothed)
+    threshold = min(math.sqrt(sum((s - middle) ** 2 for s in smoothed) / len(smoothed)), mean / 2)
+    over = [s >= threshold - 1e-12 and s > 0 for s in smoothed]
+
+    def reached(i, step):
+        """Whether a line of the cluster with a high ratio of its own stands at i or beyond it."""
+        while 0 <= i < len(lines) and over[i]:
+            if ratios[i] >= threshold / 2:
+                return True
+            i += step
+        return False
+
+    return [over[i] and reached(i, 1) and reached(i, -1) and x.linked <= len(x.text) / 2 for i, x in enumerate(lines)]
+
+
+def test_clusters_equal_brute_force():
+    r = random.Random(12)
+    for _ in range(200):
+        lines = [htmltext.Line("x" * (n := r.choice([1, 3, 9, 40, 200])), r.randrange(9), r.choice([0, 0, 0, n]), "p", (1,), False) for _ in range(r.randrange(1, 40))]
+        assert htmltext.clusters(lines, lines) == brute_clusters(lines)
+
+
 @pytest.mark.parametrize("page", [None, "", "   ", "<nav>only menu</nav>", "<script>x</script>", "<p></p>", "<!-- a -->"])
 def test_pages_without_text(page):
     assert main_text(page) == ""
