@@ -282,7 +282,7 @@ def content_lines(lines: list[Line], articles: set[int], named: set[int] = froze
 
     All content clusters of the lines that the markup doesn't call boilerplate count, and all of their lines are kept. The article or main element with most of their text is the region, if it has
     more than 60 % of it; what its markup doesn't call boilerplate is kept whole. Without such an element the region is the innermost one that holds all clusters, and no list or quote,
-    or the outermost one around it with an article's name. There, what lies between the clusters is kept, and beside them what stands directly in a container that holds some of their lines; a menu, a
+    or the outermost one around it with an article's name. There, what lies between the clusters is kept, and beside them what stands directly in a container, or in a table or list, that holds some of their lines; a menu, a
     line of small print or the like outside of them goes by its ratio alone. Headings before the first cluster are kept.
     """
     plain = [x for x in lines if not x.boilerplate]
@@ -308,9 +308,15 @@ def content_lines(lines: list[Line], articles: set[int], named: set[int] = froze
         whole_region = region in named
     chosen = {id(x) for x in seeds}
     homes = {0, *(n for x in seeds for n in x.path)}
+
+    def at_home(path: tuple[int, ...]) -> bool:
+        """It stands directly in a container of a cluster's line, or in the same table or list."""
+        inner = [n for n in path if n in parts]
+        return (path[-1] if path else 0) in homes or bool(homes.intersection(inner)) and path[-1] in parts
+
     places = [i for i, x in enumerate(lines) if id(x) in chosen]
     first, last = places[0], places[-1]
-    held = [(region == 0 or region in x.path) and not x.boilerplate and (whole_region or id(x) in chosen or first <= i <= last or (x.path[-1] if x.path else 0) in homes) for i, x in enumerate(lines)]
+    held = [(region == 0 or region in x.path) and not x.boilerplate and (whole_region or id(x) in chosen or first <= i <= last or at_home(x.path)) for i, x in enumerate(lines)]
     begin = held.index(True)
     # A heading before the region: the page's title, or one right before it.
     for i in range(begin - 1, -1, -1):
