@@ -3,11 +3,13 @@
 Containment of an item in a document is the share of the item's distinct shingles that the document holds. The items of a size class share a
 signature length: the class's largest item may miss floor((1 - threshold) * n) shingles and still reach the threshold, so of any item the
 floor((1 - threshold) * n) + 1 shingles with the smallest min-hashes can't all be missing. A document that holds none of an item's
-signature is therefore no candidate, and no candidate is lost, however long the document is. Candidates are verified on the item's shingles.
+signature is therefore no candidate, and no candidate is lost, however long the document is. A document's min-hashes are looked up in the signatures alone; only candidates' shingles
+are compared.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from functools import reduce
@@ -28,62 +30,100 @@ def words(text: str | None) -> list[str]:
     return _WORD.findall((text or "").lower())
 
 
+_M = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
+
+
+def _windows(values: np.ndarray, k: int) -> np.ndarray:
+    return np.lib.stride_tricks.sliding_window_view(values, k)
+
+
+def min_hashes(words: np.ndarray, k: int) -> np.ndarray:
+    """A 64-bit hash of each run of ``k`` words, from the words' hashes."""
+    out = np.full(len(words) - k + 1, k, np.uint64)
+    for i in range(k):
+        h = (out + words[i : len(words) - k + 1 + i]) * _M[0]
+        h = (h ^ (h >> np.uint64(30))) * _M[1]
+        h = (h ^ (h >> np.uint64(27))) * _M[2]
+        out = h ^ (h >> np.uint64(31))
+    return out
+
+
+class SizeClass:
+    """Items of like size and one shingle length, and the least min-hashes of each as its signature, sorted over all items."""
+
+    def __init__(self, k: int, members: list[tuple[int, np.ndarray]], threshold: float) -> None:
+        self.k = k
+        sizes = [len(hashes) for _, hashes in members]
+        #: Shingles that a document must have for any of them.
+        self.least = math.ceil(threshold * min(sizes) - 1e-9)
+        length = int((1 - threshold) * max(sizes) + 1e-9) + 1
+        signatures = [hashes[:length] for _, hashes in members]
+        values = np.concatenate(signatures)
+        items = np.repeat(np.array([m for m, _ in members], np.int32), [len(x) for x in signatures])
+        order = np.argsort(values)
+        self.values, self.items = values[order], items[order]
+
+    def candidates(self, hashes: np.ndarray) -> np.ndarray:
+        """The items of which a document with these min-hashes has any of the signature. Of the document only hashes up to the signatures' largest can matter."""
+        sketch = np.unique(hashes[hashes <= self.values[-1]])
+        lo, hi = np.searchsorted(self.values, sketch), np.searchsorted(self.values, sketch, "right")
+        hit = hi > lo
+        return np.unique(np.concatenate([self.items[a:b] for a, b in zip(lo[hit], hi[hit], strict=True)])) if hit.any() else self.items[:0]
+
+
 class ContainmentIndex:
-    """Inverted index over the min-hash signatures of a bounded block of items.
+    """Min-hash signatures of a bounded block of items by size class, and the items' words for the check of candidates.
 
-    Words of the items are numbered; a word outside the vocabulary can't lie in a shingle of an item, so a document is scanned for runs of known
-    words only. Shingles are tuples of word numbers, so that equality is exact and not one of hashes.
+    Words of the items are numbered; a word outside the vocabulary can't lie in a shingle of an item, so a document is searched in its runs of known
+    words only. The check compares tuples of word numbers, so equality is exact and not one of hashes.
     """
 
     def __init__(self, items: list[tuple[int, str]], shingle: int, threshold: float) -> None:
         self.threshold = threshold
         self.vocab: dict[str, int] = {}
-        self.items: list[tuple[int, int, frozenset]] = []
-        # Shingle length to (shingle to items whose signature has it).
-        self.signatures: dict[int, dict[tuple, list[int]]] = {}
-        # Shingle length to all shingles of items, to keep those of a document.
-        self.shingles: dict[int, dict[tuple, None]] = {}
-        classes: dict[tuple[int, int], list[int]] = {}
+        self.items: list[tuple[int, int, np.ndarray]] = []
+        numbered = []
         for item_id, text in items:
-            w = words(text)
-            if not w:
+            if w := words(text):
+                numbered.append((item_id, np.array([self.vocab.setdefault(x, len(self.vocab)) for x in w], np.int32)))
+        self.hashes = np.array([xxhash.xxh64_intdigest(w, 7) for w in self.vocab], np.uint64)
+        classes: dict[tuple[int, int], list[tuple[int, np.ndarray]]] = {}
+        for item_id, ids in numbered:
+            k = min(shingle, len(ids))
+            hashes = np.unique(min_hashes(self.hashes[ids], k))
+            classes.setdefault((k, len(hashes).bit_length()), []).append((len(self.items), hashes))
+            self.items.append((item_id, k, ids))
+        self.classes = [SizeClass(k, members, threshold) for (k, _), members in sorted(classes.items())]
+
+    def candidates(self, ids: np.ndarray) -> list[int]:
+        """The items that share a signature with a document of these word numbers, -1 for unknown words."""
+        known = np.concatenate([[0], np.cumsum(ids >= 0)])
+        hashes, found = {}, []
+        for c in self.classes:
+            if len(ids) < c.k:
                 continue
-            k = min(shingle, len(w))
-            ids = [self.vocab.setdefault(x, len(self.vocab)) for x in w]
-            own = frozenset(tuple(ids[i : i + k]) for i in range(len(ids) - k + 1))
-            classes.setdefault((k, len(own).bit_length()), []).append(len(self.items))
-            self.items.append((item_id, k, own))
-        names = list(self.vocab)
-        for (k, _), members in classes.items():
-            largest = max(len(self.items[m][2]) for m in members)
-            length = int((1 - threshold) * largest + 1e-9) + 1
-            for m in members:
-                own = self.items[m][2]
-                ranked = sorted(own, key=lambda s: (xxhash.xxh64_intdigest(" ".join(names[i] for i in s), 7), s))
-                for s in ranked[:length]:
-                    self.signatures.setdefault(k, {}).setdefault(s, []).append(m)
-                self.shingles.setdefault(k, {}).update(dict.fromkeys(own))
+            if c.k not in hashes:
+                whole = known[c.k :] - known[: -c.k] == c.k
+                hashes[c.k] = min_hashes(self.hashes[ids], c.k)[whole] if whole.any() else self.hashes[:0]
+            if len(hashes[c.k]) >= max(1, c.least):
+                found += c.candidates(hashes[c.k]).tolist()
+        return found
 
     def search(self, text: str | None) -> list[tuple[int, float, int, int]]:
         """(item, containment, shared shingles, item's shingles) at or over the threshold."""
+        if not self.items:
+            return []
         get = self.vocab.get
-        ids = np.array([get(w, -1) for w in words(text)], np.int64)
-        out = []
-        for k, signatures in self.signatures.items():
-            n = len(ids) - k + 1
-            if n <= 0:
-                continue
-            known = np.concatenate([[0], np.cumsum(ids >= 0)])
-            whole = np.flatnonzero(known[k:] - known[:-k] == k)
-            if not len(whole):
-                continue
-            every = self.shingles[k]
-            held = {s for s in map(tuple, ids[whole[:, None] + np.arange(k)].tolist()) if s in every}
-            for m in {m for s in held for m in signatures.get(s, ())}:
-                item_id, _, own = self.items[m]
-                shared = len(own & held)
-                if shared >= self.threshold * len(own) - 1e-9:
-                    out.append((item_id, shared / len(own), shared, len(own)))
+        ids = np.array([get(w, -1) for w in words(text)], np.int32)
+        out, held = [], {}
+        for m in self.candidates(ids):
+            item_id, k, own = self.items[m]
+            if k not in held:
+                held[k] = set(map(tuple, _windows(ids, k).tolist()))
+            shingles = set(map(tuple, _windows(own, k).tolist()))
+            shared = len(shingles & held[k])
+            if shared >= self.threshold * len(shingles) - 1e-9:
+                out.append((item_id, shared / len(shingles), shared, len(shingles)))
         return out
 
 
@@ -112,7 +152,7 @@ def _blocks(items: DataFrame, block_bytes: int) -> Iterator[list[tuple[int, str]
 
 
 def contained_items(
-    docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text", shingle: int = 5, threshold: float = 0.8, block_bytes: int = 4 << 20
+    docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text", shingle: int = 5, threshold: float = 0.8, block_bytes: int = 16 << 20
 ) -> DataFrame:
     """``doc_id, item_id, containment, shared, n_shingles``: every document and item with at least ``threshold`` of the item's distinct word shingles in the document.
 
@@ -140,7 +180,7 @@ def _without(index, at: int):
     return run
 
 
-def decontaminate(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text", shingle: int = 5, threshold: float = 0.8, block_bytes: int = 4 << 20) -> DataFrame:
+def decontaminate(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text", shingle: int = 5, threshold: float = 0.8, block_bytes: int = 16 << 20) -> DataFrame:
     """The rows of ``docs`` that contain no item, with their columns.
 
     A row goes if it contains at least ``threshold`` of any item's shingles (see ``contained_items``). Rows are judged on their text alone, so repeated rows and

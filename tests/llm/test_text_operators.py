@@ -10,7 +10,7 @@ import pytest
 
 from loomspark.llm import htmltext, queries
 from loomspark.llm.bpe import ForcedBoundaryBpe, bpe_encode
-from loomspark.llm.decontam import contained_items, decontaminate
+from loomspark.llm.decontam import ContainmentIndex, contained_items, decontaminate
 from loomspark.llm.htmltext import html_text, main_text
 from loomspark.llm.linededup import line_dedup
 from loomspark.llm.suffixdedup import suffix_dedup
@@ -368,6 +368,26 @@ def test_contained_items_equal_brute_force(spark):
     assert contained_items(documents(spark, []), table).collect() == [] and contained_items(documents(spark, rows), table.limit(0)).collect() == []
 
 
+def test_signatures_choose_the_candidates():
+    r = random.Random(21)
+    vocabulary = [f"w{k}" for k in range(300)]
+    items = [(k, " ".join(r.choice(vocabulary) for _ in range(r.choice([6, 20, 80])))) for k in range(60)]
+    index = ContainmentIndex(items, 5, 0.8)
+    few = many = 0
+    for k, text in items:
+        words = text.split()
+        for cut in (0.1, 0.5, 0.95):
+            document = " ".join(["x"] * 50 + words[: max(5, int(cut * len(words)))] + ["x"] * 2000)
+            ids = np.array([index.vocab.get(w, -1) for w in document.split()], np.int32)
+            chosen = index.candidates(ids)
+            few += len(chosen)
+            # Without signatures every item that shares a shingle would be compared.
+            shared = [m for m, (_, n, own) in enumerate(index.items) if {tuple(x) for x in np.lib.stride_tricks.sliding_window_view(own, n).tolist()} & {tuple(x) for x in np.lib.stride_tricks.sliding_window_view(ids, n).tolist()}]
+            many += len(shared)
+            assert {i for i, *_ in index.search(document)} <= {items[m][0] for m in chosen} <= {items[m][0] for m in shared}
+    assert 0 < few < many
+
+
 def self_mix(r, items):
     words = (items[r.randrange(30)][1] or "").split()
     if r.random() < 0.5 and words:
