@@ -191,6 +191,21 @@ def _best_threshold(logit: np.ndarray, target: np.ndarray, weight: np.ndarray) -
     return float(edges[best[gap[best].argmax()]])
 
 
+def prior(tokens: list[np.ndarray], target: np.ndarray, vocabulary: Vocabulary) -> np.ndarray:
+    """How much more often texts of class 1 have a bucket than those of class 0, as a log-odds in standard deviations; 0 where that may be chance."""
+    counts = np.zeros((2, vocabulary.buckets))
+    for t, y in zip(tokens, target, strict=True):
+        counts[int(y), np.unique(vocabulary.features[np.unique(t)])] += 1
+    size = np.array([(target == 0).sum(), (target == 1).sum()])[:, None]
+    a, b = counts[1] + 0.5, counts[0] + 0.5
+    odds = np.log(a / (size[1] - counts[1] + 0.5)) - np.log(b / (size[0] - counts[0] + 0.5))
+    deviation = np.sqrt(1 / a + 1 / b + 1 / (size[1] - counts[1] + 0.5) + 1 / (size[0] - counts[0] + 0.5))
+    sure = np.clip(odds / deviation, 0, 6)
+    sure[(sure < 2) | (counts[1] < 3)] = 0
+    sure[0] = 0
+    return sure
+
+
 def train(texts: list[str], labels: list[int], rate: tuple[float, float] = (1.0, 1.0), epochs: int = 6, batch: int = 32, step: float = 0.01, model: TextCnn | None = None) -> TextCnn:
     """Fit a model and its thresholds. ``rate`` is how many rows one sampled row of each class stands for. Every fifth text calibrates."""
     model = model or TextCnn()
@@ -200,6 +215,13 @@ def train(texts: list[str], labels: list[int], rate: tuple[float, float] = (1.0,
     index = r.permutation(len(texts))
     fit, check = (index[np.arange(len(index)) % 5 != 0], index[::5]) if len(index) >= 50 else (index, index)
     tokens = [vocabulary.tokens(t) for t in texts]
+    # The first dimension starts with what counting tells, and the first filter of each width reads it; the rest starts from chance.
+    model.embedding[:, 0] = 0.5 * prior([tokens[i] for i in fit], target[fit], vocabulary)
+    for i, kernel in enumerate(model.kernels):
+        kernel[:, :, 0] = 0
+        kernel[:, 0, 0] = 1
+        kernel[:, 0, 1:] *= 0.1
+        model.dense[i * model.filters] = 0.5
     balance = np.where(target == 1, 1 / max(1, target.sum()), 1 / max(1, (1 - target).sum()))
     first = [np.zeros_like(p) for p in model.parameters()]
     second = [np.zeros_like(p) for p in model.parameters()]
@@ -243,27 +265,31 @@ def score(model: TextCnn, vocabulary: Vocabulary, texts: list[str]) -> np.ndarra
 
 def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, per_class: int, sample_bytes: int) -> tuple[list[str], list[int], tuple[float, float]]:
     """At most ``per_class`` labelled texts of each class, those with the least hash of their identifier, and at most ``sample_bytes`` of characters. Rows whose crc32(identifier as text) mod 5 is
-    0 are never used. A text that does not fit is left out, and others take its room; if none of a class fits, that is an error. Only these rows reach the driver."""
+    0 are never used. A text that does not fit is left out, and others take its room; if none of a class fits, that is an error. Sizes are read first, so only the chosen texts reach the driver."""
     key = F.col(id_col).cast("long")
     rows = labels.select(key.alias("doc_id"), F.col(label_col).cast("int").alias("y")).where("y IN (0, 1) AND crc32(CAST(CAST(doc_id AS STRING) AS BINARY)) % 5 <> 0").groupBy("doc_id").agg(F.max("y").alias("y"))
     totals = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     order = F.xxhash64("doc_id"), F.col("doc_id")
     some = rows.where("y = 0").orderBy(*order).limit(per_class).unionAll(rows.where("y = 1").orderBy(*order).limit(per_class))
     source = docs.select(key.alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    # At most 2 * per_class identifiers are broadcast.
-    sample = sorted(source.join(F.broadcast(some), "doc_id").dropDuplicates(["doc_id"]).collect(), key=lambda r: (zlib.crc32(str(r["doc_id"]).encode()), r["doc_id"]))
+    # First the sizes alone: at most 2 * per_class rows of three numbers. Of texts that share an identifier the one of least hash counts.
+    sizes = source.join(F.broadcast(some), "doc_id").groupBy("doc_id").agg(F.first("y").alias("y"), F.min(F.struct(F.xxhash64("text").alias("hash"), F.length("text").alias("size"))).alias("text")).select("doc_id", "y", "text.*")
+    sample = sorted(sizes.collect(), key=lambda r: (zlib.crc32(str(r["doc_id"]).encode()), r["doc_id"]))
     chosen, held = set(), 0
     # Each class up to half of the room, then whatever else fits.
     for y, room in ((0, sample_bytes // 2), (1, sample_bytes // 2), (None, sample_bytes)):
         own = 0 if y is not None else held
         for i, r in enumerate(sample):
-            if i not in chosen and y in (None, r["y"]) and own + len(r["text"]) <= room:
+            if i not in chosen and y in (None, r["y"]) and own + r["size"] <= room:
                 chosen.add(i)
-                own += len(r["text"])
+                own += r["size"]
         held = held + own if y is not None else own
-    texts, found = [sample[i]["text"] for i in sorted(chosen)], [sample[i]["y"] for i in sorted(chosen)]
+    found = [sample[i]["y"] for i in sorted(chosen)]
     if without := {r["y"] for r in sample} - set(found):
         raise ValueError(f"no text of class {sorted(without)} fits in sample_bytes={sample_bytes}")
+    taken = docs.sparkSession.createDataFrame([(n, sample[i]["doc_id"], sample[i]["hash"]) for n, i in enumerate(sorted(chosen))], "n long, doc_id long, hash long")
+    rows = source.withColumn("hash", F.xxhash64("text")).join(F.broadcast(taken), ["doc_id", "hash"]).groupBy("n").agg(F.min("text").alias("text"))
+    texts = [r["text"] for r in sorted(rows.collect())]
     got = {y: max(1, found.count(y)) for y in (0, 1)}
     return texts, found, (totals.get(0, 0) / got[0], totals.get(1, 0) / got[1])
 

@@ -84,6 +84,15 @@ def test_a_text_over_the_sample_size_is_left_out(spark):
         read(4)
 
 
+def test_texts_that_share_an_identifier_give_one_training_row(spark):
+    rows, labels = labelled(60)
+    table = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    read = lambda r, k: tox.training_rows(documents(spark, r).repartition(k), table, "doc_id", "text", "toxic", 100, 1 << 20)
+    twice = [*rows, *rows, *((i, t + " other", *rest) for i, t, *rest in rows)]
+    once, again, third = read(rows, 3), read(twice, 3), read(twice, 5)
+    assert len(again[0]) == len(once[0]) == len(once[1]) and again == third and once[1] == again[1]
+
+
 def test_without_labels_nothing_is_toxic(spark):
     docs = documents(spark, [(1, "moron", "en", "s", 1)])
     model = tox.fit(docs, spark.createDataFrame([], "doc_id long, quality int, toxic int"))
