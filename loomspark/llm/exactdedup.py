@@ -198,6 +198,7 @@ def exact_dedup(
     memtable_rows: int = 50_000,
     memtable_bytes: int = 16 << 20,
     fanout: int = 4,
+    meeting: int = 64,
 ) -> DataFrame:
     """One row per input row: ``doc_id, keep_id, group_size, kept, text_sha256``.
 
@@ -216,13 +217,27 @@ def exact_dedup(
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     flushed = source.mapInArrow(_level_zero(digest_bytes, keep == "max", memtable_rows, memtable_bytes, fanout), _ENTRY)
     runs = scratch.save(flushed.withColumn("entry", F.monotonically_increasing_id()), "runs")
-    met = runs.groupBy("digest").agg(F.count(F.lit(1)).alias("runs")).where("runs > 1").select("digest")
+    # Runs that share a digest meet in one task, up to ``meeting`` of them; more are dealt out by salt first, and then one of each salt and class meet.
+    met = runs.groupBy("digest").agg(F.count(F.lit(1)).alias("runs")).where("runs > 1")
+    salt = F.pmod(F.xxhash64("entry"), F.greatest(F.lit(1), F.ceil(F.col("runs") / meeting)))
+    hits = runs.select("digest", "entry", "head", F.size("members").cast("long").alias("n"), "text").join(met.hint("merge"), "digest")
+    hits = hits.select(F.concat("digest", F.unhex(F.lpad(F.hex(salt), 16, F.lit("0")))).alias("key"), "entry", "head", "n", "text", "digest", "runs")
     order = F.col("head").desc_nulls_last() if keep == "max" else F.col("head").asc_nulls_last()
-    hits = runs.select("digest", "entry", "head", F.size("members").cast("long").alias("n"), "text").join(met, "digest", "left_semi")
-    links = scratch.save(hits.repartition(shuffle_partitions(spark), "digest").sortWithinPartitions("digest", order).mapInArrow(_verify, _LINK), "links")
+
+    def verify(rows: DataFrame, key: str, table: str) -> DataFrame:
+        rows = rows.select(F.col(key).alias("key"), "entry", "head", "n", "text")
+        return scratch.save(rows.repartition(shuffle_partitions(spark), "key").sortWithinPartitions("key", order).mapInArrow(_verify, _LINK), table)
+
+    links = verify(hits, "key", "links")
+    many = hits.where(F.col("runs") > meeting)
+    if met.where(F.col("runs") > meeting).take(1):
+        heads = links.where("entry = class").select("entry")
+        salts = verify(many.join(heads.hint("merge"), "entry", "left_semi"), "digest", "salts").select(F.col("entry").alias("class"), F.col("class").alias("whole"), F.col("keep_id").alias("best"))
+        links = links.join(salts.hint("merge"), "class", "left")
+        links = links.select("entry", F.coalesce("whole", "class").alias("class"), F.when(F.col("whole").isNull(), F.col("keep_id")).otherwise(F.col("best")).alias("keep_id"), "n")
     sizes = links.groupBy("class").agg(F.sum("n").alias("group_size"))
-    merged = links.select("entry", "class", "keep_id").join(sizes, "class")
-    entries = runs.select("entry", "head", "members", "sha256").join(merged, "entry", "left")
+    merged = links.select("entry", "class", "keep_id").join(sizes.hint("merge"), "class")
+    entries = runs.select("entry", "head", "members", "sha256").join(merged.hint("merge"), "entry", "left")
     alone = F.col("class").isNull()
     rows = entries.select(
         F.explode("members").alias("doc_id"),

@@ -23,7 +23,7 @@ def brute(rows, best):
 
 
 @pytest.mark.parametrize("keep,best", [("min", min), ("max", max)])
-@pytest.mark.parametrize("options", [{}, {"digest_bytes": 1}, {"memtable_rows": 3, "fanout": 2}, {"memtable_bytes": 50, "digest_bytes": 1, "fanout": 3}])
+@pytest.mark.parametrize("options", [{}, {"digest_bytes": 1}, {"memtable_rows": 3, "fanout": 2}, {"memtable_bytes": 50, "digest_bytes": 1, "fanout": 3}, {"memtable_rows": 2, "fanout": 2, "digest_bytes": 1, "meeting": 2}, {"memtable_rows": 1, "fanout": 1, "meeting": 1}])
 def test_exact_dedup_equals_brute_force(spark, keep, best, options):
     rows = hard_rows()
     got = exact_dedup(documents(spark, rows).repartition(5), keep=keep, **options).collect()
