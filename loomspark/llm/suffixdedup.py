@@ -387,10 +387,13 @@ def suffix_dedup(
     spark = docs.sparkSession
     scratch = Scratch(spark, "suffix")
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    source = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63))).alias("doc"), F.xxhash64(text).alias("tag"), text.alias("text"))
+    # A text under an identifier is told apart by 64 bits of its hash, one of the many without identifier by 126.
+    own, whole, none = F.col(id_col).cast("long"), F.xxhash64(text), F.col(id_col).cast("long").isNull()
+    ranked = F.lit(-(2**63)) + F.shiftrightunsigned(whole.bitwiseXOR(F.lit(-(2**63))), 2)
+    source = docs.select(F.when(none, ranked).otherwise(own).alias("doc"), F.when(none, F.xxhash64(F.lit("second"), text)).otherwise(whole).alias("tag"), text.alias("text"), own.alias("own"))
     size = docs.agg(F.sum(F.octet_length(F.col(text_col).cast("string")))).first()[0] or 0
     buckets = max(8, int(size * 2 / (length - q) * _RUN.itemsize) // bucket_bytes)
-    runs = source.mapInArrow(_scan(length, q, buckets, hot_runs[0], 16 << 20), _RUNS)
+    runs = source.select("doc", "tag", "text").mapInArrow(_scan(length, q, buckets, hot_runs[0], 16 << 20), _RUNS)
     marks = scratch.save(runs.groupBy("bucket").applyInPandas(_meet(hot_runs[1]), _MARKS), "marks")
 
     def gather(found: DataFrame) -> DataFrame:
@@ -402,5 +405,4 @@ def suffix_dedup(
     settled = slices.groupBy("bucket").applyInPandas(_compare(length, 4 << 20), _MARKS)
     covered = gather(marks.where(F.col("kind") == COVERED).unionByName(settled))
     joined = source.join(covered, ["doc", "tag"], "left")
-    doc_id = F.when(F.col("doc") != -(2**63), F.col("doc")).alias("doc_id")
-    return joined.select(doc_id, "text", "marks").mapInArrow(_remove(length, full), _KEPT if full else _OUT)
+    return joined.select(F.col("own").alias("doc_id"), "text", "marks").mapInArrow(_remove(length, full), _KEPT if full else _OUT)
