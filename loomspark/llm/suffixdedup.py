@@ -198,7 +198,7 @@ def _cut(length: int, buckets: int):
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts, refs = b.column(2), b.column(3)
+            texts, refs = b.column(2), b.column(4)
             out: list[tuple] = []
             seen: dict[bytes, tuple] = {}
             for i, (doc, tag) in enumerate(zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)):
