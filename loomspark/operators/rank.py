@@ -27,39 +27,65 @@ TEXT_NEGATIVE: Rules = (
     (r"\bgovernance\b", -8),
     (r"\bremuneration\b", -8),
     (r"\bpresentation\b", -8),
-    (r"\bacq[u]?isition\b|acquisition[-_\s]present", -32),
+    (r"\bacq[u]?isition\b|acquisition[-_\s]present|\bpresentations/[^?\s]*acqui|\b(m&a|mergers?\s+and\s+acquisitions?)\b[^\n]{0,80}\bpresentation\b", -32),
     (r"capital\s*markets?\s*day", -8),
     (r"\bpress\s*release\b", -10),
     (r"\bnews\b", -8),
     (r"\bgeneral\s*meeting\b", -12),
+    (r"\bannual\s+general\s+meeting\b", -18),
+    (r"\bextraordinary\s+general\b", -18),
     (r"\bagm\b", -14),
+    (r"\bproxy\b", -14),
     (r"\bvoting\b", -22),
+    (r"\bpostal[\s-]*voting\b", -22),
+    (r"\bpost[\s-]*vote\b", -18),
+    (r"\bkallelse\b", -22),
+    (r"\bstämma\b", -16),
+    (r"\bbolagsstämma\b", -22),
+    (r"\bbolagsstamma\b", -20),
+    (r"\bröstmaterial\b", -20),
+    (r"\bvalberedning", -12),
+    (r"\bnotice\s+of\s+(the\s+)?(annual|general|egm)\b", -18),
+    (r"\binstructions\s+for\s+(voting|shareholders)\b", -16),
     (r"\bsummary\b", -3),
+    (r"\bsammandrag\b", -3),
     (r"\byear\s+in\s+brief\b", -22),
     (r"\bhighlights?\b", -10),
     (r"\bholdings?\b", -8),
     (r"\bsustainability\s+report\b", -14),
+    (r"\bhållbarhetsrapport\b", -14),
+    (r"\bhållbarhetsredovisning\b", -14),
     (r"\besef\b", -3),
+    (r"\bcopy[\s-]+of[\s-]+the[\s-]+official\b", -5),
+    (r"\bpillar[\s-]*3\b", -24),
+    (r"\brisk\s+disclosures?\b", -20),
+    (r"\brisk\s+report\b", -16),
+    (r"\bnomination\s+committee'?s?\b", -24),
+    (r"\bboard\s+proposal\b", -24),
+    (r"\blti\b", -16),
+    (r"\bremuneration\s+report\b", -18),
+    (r"bolagsstyrningsrapport", -26),
     (r"corporate\s+governance\s+report", -26),
     (r"\bpolicy\b", -20),
     (r"\bfact\s*book\b", -20),
+    (r"\bgovernance\s+statement\b", -24),
 )
 URL_RULES: Rules = (
     (r"\.pdf(\?|$)", 5),
     (r"annual|arsredovisning|årsredovisning", 4),
-    (r"annual-and-sustainability|annual.report|arsredovisning", 3),
-    (r"\bacq[u]?isition\b", -38),
+    (r"annual-and-sustainability|annual.report|arsredovisning|års-och-hållbarhets", 3),
+    (r"\bacq[u]?isition\b|acquisition[-_\s]present|\bpresentations/[^?\s]*acqui|\b(m&a|mergers?\s+and\s+acquisitions?)[-_\s]", -38),
     (r"press|/pr-|/news/|pressrelease|_pr_", -10),
     (r"interim|quarterly|q[1-4]\b", -8),
-    (r"voting|kallelse|proxy|/agm\b|_agm_", -22),
-    (r"nomination|board-proposal|lti-|remuneration-report", -22),
+    (r"voting|postal[\s-]*vote|kallelse|proxy|bolagsst(a|ä)mma|röstmaterial|/agm\b|_agm_|instruktioner", -22),
+    (r"nomination|board-proposal|board-proposals|lti-|remuneration-report", -22),
     (r"corpgov|bolagsstyrn|corp[-_]gov|governance[-_]report", -28),
     (r"policy|factbook|presentation|remuneration[-_]report", -18),
 )
 CLASS_ANNUAL = r"\b(annual\s+(and\s+sustainability\s+)?report|integrated\s+annual\s+report|annual\s+financial\s+report)\b|årsredovisning"
 CLASS_OTHER = (
     r"\b(corporate\s+governance|governance\s+report|governance\s+statement|policy|presentation|factbook|year\s+in\s+brief|remuneration\s+report|annual\s+general\s+meeting|agm|"
-    r"notice\s+of\s+meeting|sustainability\s+report|acq[u]?isition)\b"
+    r"notice\s+of\s+meeting|sustainability\s+report|hållbarhetsrapport|hållbarhetsredovisning|acq[u]?isition)\b"
 )
 
 
@@ -101,11 +127,21 @@ def report_class(text: Column, url: Column) -> Column:
     return F.when(matches(hay, CLASS_ANNUAL), "annual_like").when(matches(hay, CLASS_OTHER), "non_annual_like").otherwise("unknown")
 
 
-def link_score(text: Column, url: Column, as_of_year: int) -> Column:
-    """Points of a link: its text, the negatives of text and url together, both years, and the url's own rules."""
+def url_score(url: Column, as_of_year: int) -> Column:
+    """Points of an address alone, its year included."""
+    return rule_points(F.lower(url), URL_RULES) + year_points(latest_year(url), as_of_year)
+
+
+def heading_points(heading: Column) -> Column:
+    """+3 for a link below a heading that mentions the annual report."""
+    return F.when(matches(heading, r"annual\s*report|årsredovisning"), 3).otherwise(0)
+
+
+def link_score(text: Column, url: Column, as_of_year: int, heading: Column | None = None) -> Column:
+    """Points of a link: its text, the negatives of text and url together, both years, the url's own rules, and the headings above it if they are known."""
     both = F.lower(F.concat_ws(" ", text, url))
     lone = F.when(matches(text, "sustainability|hållbarhet") & ~matches(text, "annual|årsredovisning"), -5).otherwise(0)
-    return rule_points(text, TEXT_POSITIVE) + rule_points(both, TEXT_NEGATIVE) + lone + year_points(latest_year(text), as_of_year) + rule_points(F.lower(url), URL_RULES) + year_points(latest_year(url), as_of_year)
+    return rule_points(text, TEXT_POSITIVE) + rule_points(both, TEXT_NEGATIVE) + lone + year_points(latest_year(text), as_of_year) + url_score(url, as_of_year) + (heading_points(heading) if heading is not None else F.lit(0))
 
 
 def rank_class_first(candidates: DataFrame, key: str = "company_id") -> DataFrame:
@@ -121,12 +157,9 @@ def rank_class_first(candidates: DataFrame, key: str = "company_id") -> DataFram
 
 
 def top_confidence(candidates: DataFrame, key: str = "company_id") -> DataFrame:
-    """Per key the two best scores and the level of confidence: low under 8, medium at a gap of 3 or less, else high. Two rows per key and task are kept before the shuffle's
-    last step: the maximum and the second come from one aggregate of the two largest."""
-    best = candidates.groupBy(key).agg(F.max("score").alias("top"), F.count(F.lit(1)).alias("n"))
-    joined = candidates.join(best.select(key, F.col("top").alias("_top")), key)
-    second = joined.groupBy(key).agg(F.max(F.when(F.col("score") < F.col("_top"), F.col("score"))).alias("lower"), F.count_if(F.col("score") == F.col("_top")).alias("ties"))
-    rows = best.join(second, key).withColumn("second", F.when(F.col("ties") > 1, F.col("top")).otherwise(F.col("lower")))
+    """Per key the two best scores and the level of confidence: low under 8, medium at a gap of 3 or less, else high. Ranks up to two are taken before the shuffle, so a key costs two rows a task."""
+    best = candidates.select(key, "score", F.row_number().over(Window.partitionBy(key).orderBy(F.desc("score"))).alias("n")).where("n <= 2")
+    rows = best.groupBy(key).agg(F.max(F.when(F.col("n") == 1, F.col("score"))).alias("top"), F.max(F.when(F.col("n") == 2, F.col("score"))).alias("second"))
     level = F.when(F.col("top") < 8, "low").when(F.col("second").isNotNull() & (F.col("top") - F.col("second") <= 3), "medium").otherwise("high")
     return rows.select(key, "top", "second", level.alias("level"))
 

@@ -13,7 +13,7 @@ PDF = r"\.pdf(\?|$)"
 FIRST_YEAR = r"\b(20[12][0-9])\b"
 
 # Patterns and their points.
-_VOTING = r"voting|postal[\s-]*vote|kallelse|bolagsst(a|ä)mma|stämma|röstmaterial|notice\s+of\s+(the\s+)?(annual|general)"
+_VOTING = r"voting|postal[\s-]*voting|postal[\s-]*vote|kallelse|bolagsst(a|ä)mma|stämma|röstmaterial|notice\s+of\s+(the\s+)?(annual|general)"
 BROWSER_TEXT: Rules = (
     (r"annual\s+(and\s+sustainability\s+)?report", 10),
     (r"årsredovisning", 10),
@@ -84,8 +84,8 @@ def recency(year: Column, as_of_year: int) -> Column:
     return F.when(year.isin(last, as_of_year), 5).when(year == last - 1, 2).when(year < last - 2, (year - last + 2) * 5).otherwise(0)
 
 
-def _lone_sustainability(text: Column) -> Column:
-    return F.when(matches(text, "sustainability|hållbarhet") & ~matches(text, "annual|årsredovisning|arsredovisning"), -5).otherwise(0)
+def _lone_sustainability(text: Column, annual: str = "annual|årsredovisning") -> Column:
+    return F.when(matches(text, "sustainability|hållbarhet") & ~matches(text, annual), -5).otherwise(0)
 
 
 def _pdf_only(url: Column, points: Column) -> Column:
@@ -108,7 +108,7 @@ def cms_points(context: Column, url: Column, year: Column, as_of_year: int) -> C
     """Addresses in JSON, with their key path as context."""
     both = F.concat_ws(" ", context, url)
     by_year = F.when(year.isin(as_of_year, as_of_year - 1), 4).when(year < as_of_year - 3, -8).otherwise(0)
-    return 4 + rule_points(both, CMS_BOTH) + _lone_sustainability(both) + by_year
+    return 4 + rule_points(both, CMS_BOTH) + _lone_sustainability(both, "annual|årsredovisning|arsredovisning") + by_year
 
 
 def aggregator_points(text: Column, url: Column) -> Column:

@@ -8,20 +8,15 @@ from pyspark.sql import functions as F
 from loomspark.functions import texts
 from loomspark.operators import rank as r
 from loomspark.operators import risk
+from loomspark.plans import rank_sql as q
+from loomspark.plans import surrogate
 from loomspark.plans.merge_queries import C, candidates
+from loomspark.plans.rank_sql import sql_match, sql_sum
 from loomspark.plans.registry import query
 
 YEAR = 2025
 
 
-def sql_match(text: str, pattern: str) -> str:
-    return f"regexp_matches({text}, '(?i){pattern.replace(chr(39), chr(39) * 2)}')"
-
-
-def sql_points(text: str, rules: r.Rules) -> str:
-    return "(" + " + ".join(f"CASE WHEN {sql_match(text, p)} THEN {n} ELSE 0 END" for p, n in rules) + ")"
-
-
 def sql_year(text: str) -> str:
     return f"list_max(list_transform(regexp_extract_all({text}, '\\b((?:19|20)[0-9]{{2}})\\b', 1), lambda y: CAST(y AS INT)))"
 
@@ -33,8 +28,8 @@ def sql_year_points(text: str) -> str:
 
 _BOTH = "lower(concat(text, ' ', url))"
 _LONE = "CASE WHEN " + sql_match("text", "sustainability|hållbarhet") + " AND NOT " + sql_match("text", "annual|årsredovisning") + " THEN -5 ELSE 0 END"
-_SCORE = f"({sql_points('text', r.TEXT_POSITIVE)} + {sql_points(_BOTH, r.TEXT_NEGATIVE)} + {_LONE} + {sql_year_points('text')} + {sql_points('lower(url)', r.URL_RULES)} + {sql_year_points('url')})"
-_CLASS = f"CASE WHEN {sql_match('concat(text, chr(32), url)', r.CLASS_ANNUAL)} THEN 'annual_like' WHEN {sql_match('concat(text, chr(32), url)', r.CLASS_OTHER)} THEN 'non_annual_like' ELSE 'unknown' END"
+_SCORE = f"({sql_sum('text', q.LINK_TEXT)} + {sql_sum(_BOTH, q.LINK_BOTH)} + {_LONE} + {sql_year_points('text')} + {sql_sum('lower(url)', q.ADDRESS)} + {sql_year_points('url')})"
+_CLASS = f"CASE WHEN {sql_match('concat(text, chr(32), url)', q.ANNUAL_CLASS)} THEN 'annual_like' WHEN {sql_match('concat(text, chr(32), url)', q.OTHER_CLASS)} THEN 'non_annual_like' ELSE 'unknown' END"
 _STALE = f"coalesce({sql_year('concat(url, chr(32), text)').replace('list_max', 'list_min')} < {YEAR - 2}, false)"
 
 
@@ -43,6 +38,27 @@ def rule_points(spark, d):
     return candidates(spark, d).select("company_id", "ord", r.link_score(F.col("text"), F.col("url"), YEAR).alias("points"))
 
 
+_T = surrogate.text(surrogate.TITLES)
+
+
+@query(f"SELECT p_partkey, CAST({_SCORE} + CASE WHEN {sql_match('heading', 'annual[[:space:]]*report|årsredovisning')} THEN 3 ELSE 0 END AS INT) AS points, {_CLASS} AS class FROM ({_T}) t")
+def title_points(spark, d):
+    """Titles of every rule of the table, in text and address, below headings."""
+    t = surrogate.frame(spark, d, surrogate.TITLES)
+    return t.select("p_partkey", r.link_score(F.col("text"), F.col("url"), YEAR, F.col("heading")).alias("points"), r.report_class(F.col("text"), F.col("url")).alias("class"))
+
+
+_SHORT = r"""SELECT *, list_transform(list_concat(regexp_extract_all(hay, '\b[0-9]{2}[-_]([0-9]{2})\b', 1), list_transform(list_filter(regexp_extract_all(hay, '\b([0-9]{4})\b', 1), lambda x: NOT starts_with(x, '20') AND CAST(x[3:4] AS INT) = (CAST(x[1:2] AS INT) + 1) % 100), lambda x: x[3:4])),
+  lambda e: CASE WHEN 2000 + CAST(e AS INT) > 2026 THEN 1900 + CAST(e AS INT) ELSE 2000 + CAST(e AS INT) END) AS ends, list_transform(regexp_extract_all(hay, '\b((?:19|20)[0-9]{2})\b', 1), lambda y: CAST(y AS INT)) AS years FROM"""
+
+
+@query(f"SELECT p_partkey, CASE WHEN len(years) > 0 THEN list_min(years) < 2023 ELSE coalesce(list_min(ends) < 2023, false) END AS stale FROM ({_SHORT} (SELECT p_partkey, concat(url, ' ', text) AS hay FROM ({surrogate.text(surrogate.RANGES)}) t) h) x")
+def stale_ranges(spark, d):
+    """Four-digit years, and ranges of two-digit ones where there are none."""
+    t = surrogate.frame(spark, d, surrogate.RANGES)
+    return t.select("p_partkey", r.stale(F.col("url"), F.col("text"), YEAR).alias("stale"))
+
+
 @query(f"SELECT company_id, ord FROM ({C}) c WHERE NOT {_STALE}")
 def stale_filter(spark, d):
     return candidates(spark, d).where(~r.stale(F.col("url"), F.col("text"), YEAR)).select("company_id", "ord")

@@ -89,6 +89,38 @@ SELECT o.o_custkey AS company_id, (o.o_orderkey * 10 + l.l_linenumber) * 1000000
 FROM {lineitem} l JOIN {orders} o ON o.o_orderkey = l.l_orderkey
 """
 
+#: Link titles and addresses in which every rule of the point tables occurs, alone and with others.
+TITLES = """
+SELECT p_partkey, CASE p_partkey % 70 WHEN 0 THEN 'Annual report' WHEN 1 THEN 'Årsredovisning' WHEN 2 THEN 'Års- och hållbarhetsredovisning' WHEN 3 THEN 'Annual results' WHEN 4 THEN 'Q3 report'
+    WHEN 5 THEN 'Interim statement' WHEN 6 THEN 'Quarterly figures' WHEN 7 THEN 'Delårsrapport' WHEN 8 THEN 'Governance' WHEN 9 THEN 'Remuneration' WHEN 10 THEN 'Presentation'
+    WHEN 11 THEN 'Acquisition of Alpha' WHEN 12 THEN 'M&A strategy presentation' WHEN 13 THEN 'Capital markets day' WHEN 14 THEN 'Press release' WHEN 15 THEN 'News'
+    WHEN 16 THEN 'General meeting' WHEN 17 THEN 'Annual general meeting' WHEN 18 THEN 'Extraordinary general meeting' WHEN 19 THEN 'AGM 2024' WHEN 20 THEN 'Proxy form'
+    WHEN 21 THEN 'Voting results' WHEN 22 THEN 'Postal voting form' WHEN 23 THEN 'Post-vote form' WHEN 24 THEN 'Kallelse' WHEN 25 THEN 'Extra stämma' WHEN 26 THEN 'Bolagsstämma'
+    WHEN 27 THEN 'Bolagsstamma' WHEN 28 THEN 'Röstmaterial' WHEN 29 THEN 'Valberedningen' WHEN 30 THEN 'Notice of the annual meeting' WHEN 31 THEN 'Instructions for shareholders'
+    WHEN 32 THEN 'Summary 2023' WHEN 33 THEN 'Sammandrag' WHEN 34 THEN 'Year in brief' WHEN 35 THEN 'Highlights' WHEN 36 THEN 'Beta Holding' WHEN 37 THEN 'Sustainability report'
+    WHEN 38 THEN 'Hållbarhetsrapport 2021' WHEN 39 THEN 'Hållbarhetsredovisning' WHEN 40 THEN 'ESEF package' WHEN 41 THEN 'Copy of the official document' WHEN 42 THEN 'Pillar 3'
+    WHEN 43 THEN 'Risk disclosures' WHEN 44 THEN 'Risk report' WHEN 45 THEN 'Nomination committee''s work' WHEN 46 THEN 'Board proposal' WHEN 47 THEN 'LTI programme'
+    WHEN 48 THEN 'Remuneration report' WHEN 49 THEN 'Bolagsstyrningsrapport' WHEN 50 THEN 'Corporate governance report' WHEN 51 THEN 'Code policy' WHEN 52 THEN 'Fact book'
+    WHEN 53 THEN 'Governance statement' WHEN 54 THEN 'Annual and sustainability report 2025' WHEN 55 THEN 'Integrated annual report 2024' WHEN 56 THEN 'Annual financial report 2022'
+    WHEN 57 THEN 'Investors' WHEN 58 THEN 'Investor relations' WHEN 59 THEN 'Investerare' WHEN 60 THEN 'Financial reports' WHEN 61 THEN 'Calendar' WHEN 62 THEN 'Contact'
+    WHEN 63 THEN 'Career' WHEN 64 THEN 'Cookie notice' WHEN 65 THEN 'Privacy' WHEN 66 THEN 'Legal' WHEN 67 THEN 'Notice of meeting' WHEN 68 THEN 'Annual report 2019 and 2023'
+    WHEN 69 THEN 'Mergers and acquisitions overview presentation' END AS text,
+concat('https://ir', CAST(p_partkey % 5 AS STRING), '.example.com/', CASE p_size % 26 WHEN 0 THEN 'annual-report-2024.pdf' WHEN 1 THEN 'arsredovisning-2025.pdf' WHEN 2 THEN 'annual-and-sustainability-report.pdf' WHEN 3 THEN 'doc.pdf?v=1'
+    WHEN 4 THEN 'press/pr-1.html' WHEN 5 THEN 'news/interim-q1.pdf' WHEN 6 THEN 'presentations/acquisition-deck.pdf' WHEN 7 THEN 'agm/voting.pdf' WHEN 8 THEN 'postal-vote.pdf'
+    WHEN 9 THEN 'instruktioner.pdf' WHEN 10 THEN 'nomination.pdf' WHEN 11 THEN 'lti-plan.pdf' WHEN 12 THEN 'board-proposals.pdf' WHEN 13 THEN 'corpgov.pdf'
+    WHEN 14 THEN 'governance-report-2020.pdf' WHEN 15 THEN 'policy.pdf' WHEN 16 THEN 'factbook_2022.pdf' WHEN 17 THEN 'remuneration-report.pdf' WHEN 18 THEN 'investors/en/reports/'
+    WHEN 19 THEN 'ir/index.html' WHEN 20 THEN 'mergers-and-acquisitions.pdf' WHEN 21 THEN 'm&a-deck.pdf' WHEN 22 THEN 'proxy_agm_2024.pdf' WHEN 23 THEN 'kallelse-2023.pdf'
+    WHEN 24 THEN 'bolagsstamma/x.pdf' WHEN 25 THEN 'acqisition-present.pdf' END) AS url,
+CASE p_partkey % 4 WHEN 0 THEN 'Annual reports' WHEN 1 THEN 'Årsredovisningar' WHEN 2 THEN 'Press' END AS heading FROM {part}
+"""
+
+#: Titles with years and ranges of years.
+RANGES = """
+SELECT p_partkey, CASE p_partkey % 14 WHEN 0 THEN 'Report 09-10' WHEN 1 THEN 'Report 1213' WHEN 2 THEN 'Report 23-24' WHEN 3 THEN 'Report 2324' WHEN 4 THEN 'Report 2425' WHEN 5 THEN 'Report 22_23'
+    WHEN 6 THEN 'Report 20-21' WHEN 7 THEN 'Report 9900' WHEN 8 THEN 'Nothing' WHEN 9 THEN 'Report 2019' WHEN 10 THEN 'Report 2025' WHEN 11 THEN 'Report 97-98 and 24-25'
+    WHEN 12 THEN 'Report 1919' WHEN 13 THEN 'Report 2526 draft' END AS text, concat('https://ir.example.com/', CASE p_size % 3 WHEN 0 THEN 'a.pdf' WHEN 1 THEN 'a-0708.pdf' ELSE 'report-2022/x.pdf' END) AS url FROM {part}
+"""
+
 #: Fetches in order per user and event type; errors are failed downloads.
 FETCHES = """
 SELECT event_id AS ord, user_id AS company_id, concat('host', CAST(event_id % 3 AS STRING)) AS host, event_type, CASE WHEN event_type = 'error' THEN CASE WHEN event_id % 2 = 0 THEN 403 ELSE 500 END ELSE 200 END AS status,
