@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -21,14 +20,17 @@ from pyspark.sql import types as T
 
 from loomspark.llm.common import Scratch, fresh, shuffle_partitions
 from loomspark.llm.components import components
-from loomspark.llm.simhash import BUCKET, trie_join
+from loomspark.llm.simhash import BUCKET, forest, trie_join
 
 WIDE = 128
+#: Shingles of a component from which on it is cut into parts, up to 16 of them, and those that a part may have at most.
+SPLIT, ROOM = 1 << 15, 1 << 23
 _M = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
 _PRINT = T.StructType([T.StructField(c, T.LongType()) for c in ("doc_id", "raw", "a", "b", "p", "q")])
-_DEALT = T.StructType([T.StructField("bucket", T.IntegerType()), T.StructField("view", T.LongType()), *(T.StructField(c, T.LongType()) for c in ("node", "label", "p", "q")), T.StructField("no", T.BinaryType())])
+_DEALT = T.StructType([T.StructField("bucket", T.IntegerType()), *(T.StructField(c, T.LongType()) for c in ("view", "node", "p", "q"))])
 _PAIR = T.StructType([T.StructField("u", T.LongType()), T.StructField("v", T.LongType())])
-_SET = T.StructType([T.StructField("node", T.LongType()), T.StructField("shingles", T.ArrayType(T.LongType()))])
+#: Shingles as bytes: a column of arrays takes Arrow and pandas ten times as long.
+_SET = T.StructType([T.StructField("node", T.LongType()), T.StructField("size", T.LongType()), T.StructField("shingles", T.BinaryType())])
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -110,85 +112,87 @@ def _deal(leading: list[np.ndarray], buckets: int):
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
-                words = np.stack([part.column(k).to_numpy(zero_copy_only=False) for k in (2, 3)], axis=1).astype("<i8")
+                words = np.stack([part.column(k).to_numpy(zero_copy_only=False) for k in (1, 2)], axis=1).astype("<i8")
                 bits = np.unpackbits(words.view(np.uint8), axis=1)
-                # As bytes: a column of arrays takes Arrow and pandas ten times as long.
-                refused = pa.array([x and np.array(x, np.int64).tobytes() for x in part.column(4).to_pylist()], pa.binary())
                 for v, lead in enumerate(leading):
                     view = bits[:, lead].astype(np.uint64) @ power | np.uint64(v << 48)
                     bucket = (_mix(view * _M[0]) % np.uint64(buckets)).astype(np.int32)
-                    yield pa.RecordBatch.from_arrays([pa.array(bucket), pa.array(view.view(np.int64)), *part.columns[:4], refused], names=_DEALT.names)
+                    yield pa.RecordBatch.from_arrays([pa.array(bucket), pa.array(view.view(np.int64)), *part.columns], names=_DEALT.names)
 
     return run
 
 
-def spanning(u: np.ndarray, v: np.ndarray, root: np.ndarray) -> np.ndarray:
-    """Of edges in order of preference those of the best spanning forest, between the groups that ``root`` has already (Boruvka's rounds)."""
-    root, chosen, live = root.copy(), [], np.arange(len(u))
-    while True:
-        x, y = root[u[live]], root[v[live]]
-        apart = x != y
-        live, x, y = live[apart], x[apart], y[apart]
-        if not len(live):
-            return np.sort(np.concatenate(chosen)) if chosen else live
-        best = np.full(len(root), len(u))
-        np.minimum.at(best, x, live)
-        np.minimum.at(best, y, live)
-        taken = np.unique(best[best < len(u)])
-        chosen.append(taken)
-        x, y = root[u[taken]], root[v[taken]]
-        up = np.arange(len(root))
-        while len(x):
-            np.minimum.at(up, np.maximum(x, y), np.minimum(x, y))
-            while not np.array_equal(up[up], up):
-                up = up[up]
-            x, y = up[x], up[y]
-            x, y = x[x != y], y[x != y]
-        root = up[root]
-
-
-def _candidates(budget: int, forests: int):
+def _candidates(budget: int):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         view, p = rows["view"].to_numpy(np.int64), rows["p"].to_numpy(np.int64).view(np.uint64)
         order = np.lexsort((p, view))
-        view, p, q = view[order], p[order], rows["q"].to_numpy(np.int64).view(np.uint64)[order]
-        node, label = rows["node"].to_numpy(np.int64)[order], rows["label"].to_numpy(np.int64)[order]
+        view, p, q, node = view[order], p[order], rows["q"].to_numpy(np.int64).view(np.uint64)[order], rows["node"].to_numpy(np.int64)[order]
         lo = np.flatnonzero(np.concatenate([[True], view[1:] != view[:-1]]))
         hi = np.append(lo[1:], len(view))
         shared = hi - lo > 1
-        names, first, place = np.unique(node, return_index=True, return_inverse=True)
-        codes, distances = [], []
-        for i, j in trie_join(p, None, budget, 0, (lo[shared], hi[shared])):
-            bits = np.bitwise_count(p[i] ^ p[j]).astype(np.int64) + np.bitwise_count(q[i] ^ q[j])
-            near = (bits <= budget) & (label[i] != label[j])
-            i, j = place[i[near]], place[j[near]]
-            codes.append(np.minimum(i, j) * len(names) + np.maximum(i, j))
-            distances.append(bits[near])
-        if not sum(map(len, codes)):
-            return pd.DataFrame({"u": node[:0], "v": node[:0]})
-        code, once = np.unique(np.concatenate(codes), return_index=True)
-        bits = np.concatenate(distances)[once]
-        u, v = np.divmod(code, len(names))
-        no = rows["no"].to_numpy()[order][first]
-        if any(x is not None for x in no):
-            partners = np.frombuffer(b"".join(x for x in no if x is not None), np.int64)
-            owners = np.repeat(np.arange(len(no)), [0 if x is None else len(x) // 8 for x in no])
-            at = np.minimum(np.searchsorted(names, partners), len(names) - 1)
-            here = names[at] == partners
-            left = ~np.isin(u * len(names) + v, (owners * len(names) + at)[here])
-            u, v, bits = u[left], v[left], bits[left]
-        order = np.argsort(bits, kind="stable")
-        u, v = u[order], v[order]
-        root, out = np.unique(label[first], return_inverse=True)[1], []
-        for _ in range(forests):
-            taken = spanning(u, v, root)
-            if not len(taken):
-                break
-            out.append(np.stack([names[u[taken]], names[v[taken]]]))
-            left = np.ones(len(u), bool)
-            left[taken] = False
-            u, v = u[left], v[left]
-        return pd.DataFrame(np.concatenate(out, axis=1).T, columns=["u", "v"]) if out else pd.DataFrame({"u": node[:0], "v": node[:0]})
+
+        def pairs() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+            for i, j in trie_join(p, None, budget, 0, (lo[shared], hi[shared])):
+                near = np.bitwise_count(p[i] ^ p[j]).astype(np.int64) + np.bitwise_count(q[i] ^ q[j]) <= budget
+                yield i[near], j[near]
+
+        u, v = forest(node, pairs())
+        return pd.DataFrame({"u": u, "v": v})
+
+    return run
+
+
+def exact_links(sets: list[np.ndarray], similarity: float) -> list[tuple[int, int]]:
+    """A forest of the links of sets at ``similarity`` or more: from each set that a search has reached, all that are linked to it and not reached yet. What is reached leaves the
+    inverted index, so that a family of like sets is read a few times and not once for each of its members."""
+    n = len(sets)
+    sizes = np.array([len(x) for x in sets])
+    left, out = np.arange(n), []
+    reached = np.zeros(n, bool)
+    values, ids = np.unique(np.concatenate(sets), return_inverse=True)
+    parts = np.split(ids, np.cumsum(sizes)[:-1])
+
+    def index(members: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        owner = np.repeat(members, sizes[members])
+        held = np.concatenate([parts[m] for m in members])
+        order = np.argsort(held, kind="stable")
+        return np.searchsorted(held[order], np.arange(len(values) + 1)), owner[order]
+
+    bounds, owners = index(left)
+    for start in range(n):
+        if reached[start]:
+            continue
+        reached[start] = True
+        todo = [start]
+        while todo:
+            k = todo.pop()
+            lo, count = bounds[parts[k]], bounds[parts[k] + 1] - bounds[parts[k]]
+            at = np.repeat(lo - (np.cumsum(count) - count), count) + np.arange(count.sum())
+            common = np.bincount(owners[at], minlength=n)
+            linked = np.flatnonzero(~reached & (common > 0) & (common >= similarity * (sizes + sizes[k] - common) - 1e-9))
+            reached[linked] = True
+            out += [(k, int(x)) for x in linked]
+            todo += linked.tolist()
+            open_ = int(n - reached.sum())
+            if not open_:
+                return out
+            if open_ < len(left) // 2 and len(left) > 32:
+                left = np.flatnonzero(~reached)
+                bounds, owners = index(left)
+    return out
+
+
+def _exact(similarity: float):
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        key = rows[["component", "one", "other"]].to_numpy(np.int64)
+        order = np.lexsort((key[:, 2], key[:, 1], key[:, 0]))
+        key, node, shingles = key[order], rows["node"].to_numpy(np.int64)[order], rows["shingles"].to_numpy()[order]
+        cuts = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]).any(axis=1)])) if len(key) else []
+        found = []
+        for a, b in zip(cuts, [*cuts[1:], len(key)], strict=True):
+            if b - a > 1:
+                found += [(node[a + i], node[a + j]) for i, j in exact_links([np.frombuffer(x, np.uint64) for x in shingles[a:b]], similarity)]
+        return pd.DataFrame(np.array(found, np.int64).reshape(-1, 2), columns=["u", "v"])
 
     return run
 
@@ -200,8 +204,8 @@ def _sets(shingle: int):
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 texts = part.column(1)
-                sets = [of.hashes(of.words(texts[i].as_py())).view(np.int64) for i in range(part.num_rows)]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.list_(pa.int64()))], names=_SET.names)
+                sets = [of.hashes(of.words(texts[i].as_py())) for i in range(part.num_rows)]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(x) for x in sets], pa.int64()), pa.array([x.tobytes() for x in sets], pa.binary())], names=_SET.names)
 
     return run
 
@@ -214,8 +218,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     share identifier and text are one document: they stay or go together. Null texts count as empty. An empty table gives an empty result; columns may have any names.
 
     No link is reported that isn't one; a pair just at ``similarity`` is missed with the chance ``miss``, one above it with less. Equal texts are one node, so a text with a third
-    of all rows is one entry. A task emits spanning forests of its candidates, nearest pairs first, never all pairs; where a pair of a forest fails the exact test, the
-    next round takes other candidates between what is still apart, four times as many forests as before, until there are none.
+    of all rows is one entry. A task emits a forest of its candidates, never all pairs. All pairs of the candidates' components are then judged on their shingles, for which a large component is cut into
+    parts that meet in twos; what leaves is again a forest. Up to about 900,000 texts, a component is dealt out 16 times at most; beyond, in proportion to its size.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "neardup")
@@ -230,39 +234,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     differ = math.acos(2 * similarity / (1 + similarity)) / math.pi
     budget = math.ceil(WIDE * differ + 3.5 * math.sqrt(WIDE * differ * (1 - differ)))
     empty = F.lit(None).cast("array<long>")
-    active = leaves.where("p <> 0 OR q <> 0").select("node", F.col("node").alias("label"), "p", "q", F.lit(None).cast("array<long>").alias("no"))
-    groups = spark.createDataFrame([], "node long, component long")
-    refused: list[DataFrame] = []
-    forests, sets = 1, None
     buckets = max(2 * shuffle_partitions(spark), n * len(leading) // BUCKET)
-    while True:
-        dealt = active.mapInArrow(_deal(leading, buckets), _DEALT)
-        pairs = scratch.save(dealt.groupBy("bucket").applyInPandas(_candidates(budget, forests), _PAIR).distinct(), f"pairs{forests}")
-        if not pairs.take(1):
-            break
-        if sets is None:
-            # All nodes with any candidate: later rounds have no others.
-            nodes = scratch.save(pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct().join(leaves.hint("merge"), "node"), "nodes")
-            wanted = nodes.select("node", F.col("least.doc_id").alias("id"), F.col("least.raw").alias("hash"))
-            same = source["doc_id"].eqNullSafe(F.col("id")) & (source["raw"] == F.col("hash"))
-            texts = source.join(wanted.hint("merge"), same).groupBy("node").agg(F.min("text").alias("text"))
-            sets = scratch.save(texts.mapInArrow(_sets(shingle), _SET), "sets")
-        left = sets.select(F.col("node").alias("u"), F.col("shingles").alias("x"))
-        right = sets.select(F.col("node").alias("v"), F.col("shingles").alias("y"))
-        both = pairs.join(left.hint("merge"), "u").join(right.hint("merge"), "v")
-        common = F.size(F.array_intersect("x", "y"))
-        judged = scratch.save(both.select("u", "v", (common >= similarity * (F.size("x") + F.size("y") - common) - 1e-9).alias("linked")), f"judged{forests}")
-        linked, failed = (judged.where(c).select("u", "v") for c in ("linked", "NOT linked"))
-        if linked.take(1):
-            edges = linked.unionAll(groups.select(F.col("node").alias("u"), F.col("component").alias("v")))
-            groups = scratch.save(components(edges, Scratch(spark, "neardup-groups")), f"groups{forests}")
-        if not failed.take(1):
-            break
-        refused.append(failed)
-        no = reduce(DataFrame.unionAll, refused).groupBy("u").agg(F.collect_list("v").alias("no")).withColumnRenamed("u", "node")
-        active = nodes.select("node", "p", "q").join(groups.hint("merge"), "node", "left").join(no.hint("merge"), "node", "left")
-        active = active.select("node", F.coalesce("component", "node").alias("label"), "p", "q", "no")
-        forests *= 4
+    dealt = leaves.where("p <> 0 OR q <> 0").select("node", "p", "q").mapInArrow(_deal(leading, buckets), _DEALT)
+    pairs = scratch.save(dealt.groupBy("bucket").applyInPandas(_candidates(budget), _PAIR).distinct(), "pairs")
+    loose = scratch.save(components(pairs, Scratch(spark, "neardup-loose")), "loose")
+    wanted = leaves.join(loose.hint("merge"), "node").select("node", F.col("least.doc_id").alias("id"), F.col("least.raw").alias("hash"))
+    same = source["doc_id"].eqNullSafe(F.col("id")) & (source["raw"] == F.col("hash"))
+    texts = source.join(wanted.hint("merge"), same).groupBy("node").agg(F.min("text").alias("text"))
+    sets = scratch.save(texts.mapInArrow(_sets(shingle), _SET).join(loose.hint("merge"), "node"), "sets")
+    totals = sets.groupBy("component").agg(F.sum("size").alias("total"))
+    parts = F.greatest(F.least(F.ceil(F.col("total") / SPLIT), F.lit(16)), F.ceil(F.col("total") / ROOM)).cast("int")
+    placed = sets.join(totals.hint("merge"), "component").withColumn("parts", parts).withColumn("own", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+    both = placed.select("component", "node", "shingles", "own", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("next"))
+    both = both.select("component", "node", "shingles", F.least("own", "next").alias("one"), F.greatest("own", "next").alias("other"))
+    tasks = both.withColumn("bucket", F.pmod(F.xxhash64("component", "one", "other"), F.lit(4 * shuffle_partitions(spark))).cast("int"))
+    links = scratch.save(tasks.groupBy("bucket").applyInPandas(_exact(similarity), _PAIR), "links")
+    groups = scratch.save(components(links, Scratch(spark, "neardup-groups")), "groups")
     labels = leaves.join(groups.hint("merge"), "node", "left").select("a", "b", "least", F.coalesce("component", "node").alias("component"))
     labels = scratch.save(labels, "labels")
     winners = labels.groupBy("component").agg(F.min("least").alias("stays"))

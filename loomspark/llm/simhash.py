@@ -117,7 +117,7 @@ def _compare(a, b, alo, ahi, blo, bhi, budget, own, depth) -> Iterator[tuple[np.
             yield i[near], j[near]
 
 
-def _forest(ids: np.ndarray, pairs: Iterator[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+def forest(ids: np.ndarray, pairs: Iterator[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
     """A star for each group the pairs connect: (member, smallest member)."""
     parent = np.arange(len(ids))
 
@@ -199,7 +199,7 @@ def _join_task(budget: int, depths: list[int]):
                 for i, j in trie_join(part, None, budget, depths[v], (lo[shared], hi[shared])):
                     yield i + at, j + at
 
-        u, v = _forest(rep, pairs())
+        u, v = forest(rep, pairs())
         return pd.DataFrame({"u": u, "v": v})
 
     return run

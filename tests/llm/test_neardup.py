@@ -90,27 +90,39 @@ def test_many_equal_rows_and_a_cluster_of_hundreds(spark):
     assert got == {1, *range(5000, 5050)}
 
 
-@pytest.mark.parametrize("seed", range(3))
-def test_spanning_forest(seed):
+@pytest.mark.parametrize("seed", range(4))
+def test_exact_links_connect_what_similar_sets_connect(seed):
     r = np.random.default_rng(seed)
-    n, m = 40, 60
-    u, v = r.integers(0, n, (2, m))
-    root = np.where(np.arange(n) < 6, 0, np.arange(n))
-    taken = neardup.spanning(u, v, root)
-    join = {k: int(root[k]) for k in range(n)}
-
-    def find(x):
-        while join[x] != x:
-            x = join[x]
-        return x
-
-    want = []
-    for k in range(m):
-        a, b = find(int(root[u[k]])), find(int(root[v[k]]))
-        if a != b:
-            join[max(a, b)] = min(a, b)
-            want.append(k)
-    assert taken.tolist() == want
+    sets = []
+    for _ in range(12):
+        base = r.integers(0, 1 << 40, r.integers(1, 60)).astype(np.uint64)
+        for _ in range(r.integers(1, 30)):
+            keep = base[r.random(len(base)) > r.choice([0, 0.05, 0.2])]
+            sets.append(np.unique(np.concatenate([keep, r.integers(0, 1 << 40, 1 + r.integers(0, 4)).astype(np.uint64)])))
+    order = r.permutation(len(sets))
+    sets = [sets[k] for k in order]
+    near = lambda i, j: len(np.intersect1d(sets[i], sets[j])) >= 0.8 * len(np.union1d(sets[i], sets[j]))
+
+    def groups(pairs):
+        label = list(range(len(sets)))
+        for _ in sets:
+            before = list(label)
+            for i, j in pairs:
+                label[i] = label[j] = min(label[i], label[j])
+            if label == before:
+                return label
+
+    found = neardup.exact_links(sets, 0.8)
+    assert all(near(i, j) for i, j in found) and len(found) < len(sets)
+    assert groups(found) == groups([(i, j) for j in range(len(sets)) for i in range(j) if near(i, j)])
+
+
+def test_a_large_component_is_cut_into_parts(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "SPLIT", 300)
+    r = random.Random(10)
+    texts = [t for _ in range(4) for t in variants(r, 40, 60, 3)]
+    rows = [(k, t, "", "", 1) for k, t in enumerate(texts)]
+    assert {x["doc_id"] for x in near_duplicates(documents(spark, rows)).collect()} == kept_by_brute_force(rows)
 
 
 def test_views_miss_few_pairs_at_the_threshold():
