@@ -10,7 +10,19 @@ from pyspark.sql import functions as F
 from loomspark.operators.merge import dedupe_first
 
 # Path templates of report addresses.
-REPORT_TEMPLATES = ("/investors/annual-report-{year}.pdf", "/globalassets/annual-report-{year}.pdf", "/media/{slug}-annual-report-{year}.pdf", "/arsredovisning-{year}.pdf")
+REPORT_TEMPLATES = (
+    "/{slug}-annual-report-{year}.pdf",
+    "/{slug}-annual-and-sustainability-report-{year}.pdf",
+    "/investors/annual-report-{year}.pdf",
+    "/investors/{slug}-annual-report-{year}.pdf",
+    "/globalassets/{slug}-annual-report-{year}.pdf",
+    "/annual-report-{year}.pdf",
+    "/annual-report-{year}-en.pdf",
+    "/globalassets/annual-report-{year}.pdf",
+    "/assets/annual-report-{year}.pdf",
+    "/content/dam/{slug}/annual-report-{year}.pdf",
+    "/wp-content/uploads/{year}/{slug}-annual-report-{year}.pdf",
+)
 #: Explanations of how a type's figures map to the headline fields.
 MAPPINGS = {("bank", "revenue"): "mapped", ("bank", "ebit"): "mapped", ("real_estate", "revenue"): "mapped", ("real_estate", "ebit"): "mapped", ("investment_company", "revenue"): "n_a", ("investment_company", "ebit"): "n_a"}
 

@@ -45,7 +45,8 @@ def link_health(spark, d):
 
 
 @query(f"""SELECT company_id, CAST(year AS INT) AS year, concat('https://x', CAST(company_id AS VARCHAR), '.example', replace(replace(template, '{{year}}', CAST(year AS VARCHAR)), '{{slug}}', trim(regexp_replace(lower(company), '[^a-z0-9]+', '-', 'g'), '-'))) AS url
-FROM ({R}) r, (SELECT unnest([2023, 2024]) AS year) y, (SELECT unnest([{', '.join(repr(t) for t in c.REPORT_TEMPLATES)}]) AS template) t""")
+FROM ({R}) r, (SELECT unnest([2023, 2024]) AS year) y, (SELECT unnest(['/{{slug}}-annual-report-{{year}}.pdf', '/{{slug}}-annual-and-sustainability-report-{{year}}.pdf', '/investors/annual-report-{{year}}.pdf', '/investors/{{slug}}-annual-report-{{year}}.pdf', '/globalassets/{{slug}}-annual-report-{{year}}.pdf',
+'/annual-report-{{year}}.pdf', '/annual-report-{{year}}-en.pdf', '/globalassets/annual-report-{{year}}.pdf', '/assets/annual-report-{{year}}.pdf', '/content/dam/{{slug}}/annual-report-{{year}}.pdf', '/wp-content/uploads/{{year}}/{{slug}}-annual-report-{{year}}.pdf']) AS template) t""")
 def report_addresses(spark, d):
     named = rows(spark, d).select("company_id", F.concat(F.lit("https://x"), F.col("company_id").cast("string"), F.lit(".example")).alias("origin"), texts.slug(F.col("company")).alias("slug"))
     return c.report_addresses(named, [2023, 2024])

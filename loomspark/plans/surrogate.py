@@ -91,7 +91,7 @@ FROM {lineitem} l JOIN {orders} o ON o.o_orderkey = l.l_orderkey
 
 #: Link titles and addresses in which every rule of the point tables occurs, alone and with others.
 TITLES = """
-SELECT p_partkey, CASE p_partkey % 70 WHEN 0 THEN 'Annual report' WHEN 1 THEN 'Årsredovisning' WHEN 2 THEN 'Års- och hållbarhetsredovisning' WHEN 3 THEN 'Annual results' WHEN 4 THEN 'Q3 report'
+SELECT p_partkey, p_size, CASE p_partkey % 70 WHEN 0 THEN 'Annual report' WHEN 1 THEN 'Årsredovisning' WHEN 2 THEN 'Års- och hållbarhetsredovisning' WHEN 3 THEN 'Annual results' WHEN 4 THEN 'Q3 report'
     WHEN 5 THEN 'Interim statement' WHEN 6 THEN 'Quarterly figures' WHEN 7 THEN 'Delårsrapport' WHEN 8 THEN 'Governance' WHEN 9 THEN 'Remuneration' WHEN 10 THEN 'Presentation'
     WHEN 11 THEN 'Acquisition of Alpha' WHEN 12 THEN 'M&A strategy presentation' WHEN 13 THEN 'Capital markets day' WHEN 14 THEN 'Press release' WHEN 15 THEN 'News'
     WHEN 16 THEN 'General meeting' WHEN 17 THEN 'Annual general meeting' WHEN 18 THEN 'Extraordinary general meeting' WHEN 19 THEN 'AGM 2024' WHEN 20 THEN 'Proxy form'
