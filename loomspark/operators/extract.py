@@ -79,28 +79,42 @@ def header_above(lines: Column, no: Column, reach: int = 3) -> Column:
     return F.coalesce(F.get(F.filter(near, lambda y: F.size(y) >= 2), F.lit(0)), F.array().cast("array<string>"))
 
 
-def label_hits(lines: Column, labels: list[str], passes: tuple[tuple[int, int], ...] = ((150, 60), (500, 200)), excluded: tuple[str, ...] = EXCLUDED) -> Column:
+def ranked_labels(labels: list[str]) -> Column:
+    """Labels with their ranks as an array of constants. Short one-word labels have a pattern: they need neighbours that are no letters."""
+    lone = lambda label: len(label) <= 5 and " " not in label
+    return F.array(*(F.struct(F.lit(x).alias("label"), F.lit(r).alias("rank"), F.lit(f"(?<![a-zåäö]){x}(?![a-zåäö])" if lone(x) else "").alias("pattern")) for r, x in enumerate(labels)))
+
+
+def labels_of(kind: Column, lists: dict[str, list[str]], other: list[str]) -> tuple[Column, str]:
+    """The labels of each row's kind, and the pattern of any label."""
+    case = F.when(F.lit(False), ranked_labels(other))
+    for k, labels in lists.items():
+        case = case.when(kind == k, ranked_labels(labels))
+    return case.otherwise(ranked_labels(other)), "|".join(dict.fromkeys(x for labels in (*lists.values(), other) for x in labels))
+
+
+def label_hits(lines: Column, labels: list[str] | tuple[Column, str], passes: tuple[tuple[int, int], ...] = ((150, 60), (500, 200)), excluded: tuple[str, ...] = EXCLUDED) -> Column:
     """All (pass, rank, line, position after the label), sorted: the first usable one wins."""
     before = "(" + "|".join(x.strip() for x in excluded) + r")\s*$"
+    # Labels and passes are arrays of constants, so the plan doesn't grow with them.
+    ranked, words = labels if isinstance(labels, tuple) else (ranked_labels(labels), "|".join(labels))
+    limits = F.array(*(F.struct(F.lit(p).alias("pass_no"), F.lit(longest).alias("longest"), F.lit(offset).alias("offset")) for p, (longest, offset) in enumerate(passes)))
 
     def of(x: Column) -> Column:
-        low, length, no = x["low"], x["n"], x["no"]
+        def hits(label: Column) -> Column:
+            at = F.when(label["pattern"] == "", F.instr(x["low"], label["label"])).otherwise(F.regexp_instr(x["low"], label["pattern"]))
 
-        def hit(p: int, r: int, at: Column) -> Column:
-            longest, offset = passes[p]
-            fits = (length <= longest) & at.between(1, offset + 1) & ~F.substring(low, F.lit(1), at - 1).rlike(before)
-            return F.when(fits, F.struct(F.lit(p).alias("pass_no"), F.lit(r).alias("rank"), no.alias("no"), (at + len(labels[r])).alias("after"), F.lit(labels[r]).alias("label")))
+            def within(at: Column) -> Column:
+                free = (at > 0) & ~F.substring(x["low"], F.lit(1), at - 1).rlike(before)
+                fits = F.filter(limits, lambda p: free & (x["n"] <= p["longest"]) & (at <= p["offset"] + 1))
+                return F.transform(fits, lambda p: F.struct(p["pass_no"].alias("pass_no"), label["rank"].alias("rank"), x["no"].alias("no"), (at + F.length(label["label"])).alias("after"), label["label"].alias("label")))
 
-        def hits(r: int) -> Column:
-            # Short one-word labels need neighbours that are no letters.
-            lone = len(labels[r]) <= 5 and " " not in labels[r]
-            at = F.regexp_instr(low, F.lit(f"(?<![a-zåäö]){labels[r]}(?![a-zåäö])")) if lone else F.instr(low, labels[r])
-            return let(at, lambda at: F.array_compact(F.array(*(hit(p, r, at) for p in range(len(passes))))))
+            return let(at, within)
 
-        return F.flatten(F.array(*map(hits, range(len(labels)))))
+        return F.flatten(F.transform(ranked, hits))
 
     # Lines without any label are left out before the labels are told apart.
-    some = F.filter(F.transform(lines, lambda x: F.struct(F.lower(x["line"]).alias("low"), F.length(x["line"]).alias("n"), x["no"].alias("no"))), lambda x: x["low"].rlike("|".join(labels)))
+    some = F.filter(F.transform(lines, lambda x: F.struct(F.lower(x["line"]).alias("low"), F.length(x["line"]).alias("n"), x["no"].alias("no"))), lambda x: x["low"].rlike(words))
     return F.array_sort(F.flatten(F.transform(some, of)))
 
 

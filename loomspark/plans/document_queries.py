@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from loomspark.functions import texts
 from loomspark.operators import documents as dc
+from loomspark.operators import narrative, report
 from loomspark.plans import surrogate
 from loomspark.plans.registry import query
 
@@ -112,3 +113,55 @@ def name_profile(spark, d):
     j = F.col("p_partkey") % 4
     ticker = F.when(j == 0, "ABC.ST").when(j == 1, "AB-B.ST").when(j == 2, "ABCDE.ST")
     return part.select("p_partkey", texts.ambiguity(name, ticker).alias("level"), texts.model_hint(name).alias("hint"), F.array_join(texts.distinctive_tokens(name), ",").alias("tokens"))
+
+
+# --- whole reports ------------------------------------------------------------------------------------------------------------------
+
+#: A report per company in one of four layouts, with decoys on its page of key figures and in its segments.
+REPORTS = """SELECT c_custkey AS doc_id, concat('Firm', CAST(c_custkey AS STRING), ' AB') AS company, 10000 + c_custkey * 7 % 80000 AS revenue, concat_ws('\n', 'Annual report 2024', 'Amounts in MSEK',
+  CASE WHEN c_custkey % 5 = 1 THEN 'Chairman Otto Grahn' ELSE 'A year of change' END, CASE WHEN c_custkey % 5 = 0 THEN 'Former CEO Bertil Falk' END, 'about us', 'our work',
+  CASE c_custkey % 5 WHEN 0 THEN 'President and CEO Anna Svensson' WHEN 1 THEN 'President and CEO' WHEN 2 THEN 'CEO North America' WHEN 3 THEN 'Maria Holm' ELSE 'nobody' END, CASE c_custkey % 5 WHEN 1 THEN 'Erik von Berg' WHEN 3 THEN 'Chief Executive Officer' ELSE 'and so on' END, 'more words', CASE WHEN c_custkey % 5 = 2 THEN 'CEO Eva Lind' END,
+  CASE WHEN c_custkey % 3 = 0 THEN 'Key figures' END, CASE WHEN c_custkey % 3 = 0 THEN 'Net sales  1 111  1 000' END, CASE WHEN c_custkey % 3 = 0 THEN 'Operating profit  222  200' END, repeat('Filler line\n', 45), 'Segment information', 'Net sales  3 333  3 000', 'Operating profit  333  300', repeat('Filler line\n', 45),
+  CASE WHEN c_custkey % 4 <> 3 THEN CASE WHEN c_custkey % 4 = 1 THEN 'Moderbolagets resultaträkning' ELSE 'Consolidated income statement' END END, CASE WHEN c_custkey % 4 <> 3 THEN 'SEK m  2024  2023' END,
+  CASE WHEN c_custkey % 4 <> 3 THEN concat('Net sales  ', CAST(10000 + c_custkey * 7 % 80000 AS STRING), '  9000') END,
+  CASE c_custkey % 4 WHEN 0 THEN concat('Operating profit  ', CAST(900 + c_custkey % 1000 AS STRING), '  800') WHEN 1 THEN 'Operating margin 10%' WHEN 2 THEN concat('EBITA  ', CAST(900 + c_custkey % 1000 AS STRING), '  800') END, CASE WHEN c_custkey % 4 = 2 THEN 'Amortisation  -100  -90' END, CASE WHEN c_custkey % 4 <> 3 THEN 'Tax  -10  -9' END, CASE WHEN c_custkey % 4 <> 3 THEN 'Net result  500  400' END,
+  CASE WHEN c_custkey % 6 < 2 THEN 'Average number of employees  2 345  2 000' WHEN c_custkey % 6 < 4 THEN 'A workforce of 12,345 and a headcount of 900' END) AS text FROM {customer}"""
+_REPORTS = surrogate.text(REPORTS).replace("AS STRING", "AS VARCHAR").replace("'\n'", "chr(10)").replace("'Filler line\n'", "concat('Filler line', chr(10))")
+
+
+@query("""SELECT c_custkey AS doc_id, 'industrial' AS company_type, 'msek' AS unit, CASE WHEN c_custkey % 4 <> 3 THEN r WHEN c_custkey % 3 = 0 THEN CAST(1111 AS DOUBLE) END AS revenue,
+CASE WHEN c_custkey % 4 = 0 THEN p WHEN c_custkey % 3 = 0 THEN CAST(222 AS DOUBLE) WHEN c_custkey % 4 = 1 THEN floor(r / 10 + 0.5) WHEN c_custkey % 4 = 2 THEN p - 100 END AS ebit, CAST(CASE WHEN c_custkey % 6 < 2 THEN 2345 WHEN c_custkey % 6 < 4 THEN 12345 END AS DOUBLE) AS employees,
+CASE c_custkey % 5 WHEN 0 THEN 'Anna Svensson' WHEN 1 THEN 'Erik von Berg' WHEN 2 THEN 'Eva Lind' WHEN 3 THEN 'Maria Holm' END AS ceo, 2024 AS fiscal_year FROM (SELECT c_custkey, CAST(10000 + c_custkey * 7 % 80000 AS DOUBLE) AS r, CAST(900 + c_custkey % 1000 AS DOUBLE) AS p FROM customer) c""")
+def report_fields(spark, d):
+    """The assembled extraction over rendered reports; the database knows what they were made from."""
+    return report.extract_reports(surrogate.frame(spark, d, REPORTS), 2024).drop("notes")
+
+
+@query("SELECT c_custkey AS doc_id, CASE WHEN c_custkey % 4 IN (0, 1, 2) THEN 1 ELSE 0 END AS n_sections, c_custkey % 4 = 1 AS parent, CASE WHEN c_custkey % 3 = 0 THEN 1 ELSE 0 END AS n_highlights, true AS in_segment FROM customer")
+def report_sections(spark, d):
+    lines = surrogate.frame(spark, d, REPORTS).select("doc_id", report.report_lines(F.col("text")).alias("lines"))
+    places = lines.withColumn("places", report.structure(F.col("lines")))
+    row = F.get(F.filter("lines", lambda x: x["line"].startswith("Net sales  3 333")), F.lit(0))["no"]
+    first = F.get("places.sections", F.lit(0))
+    return places.select("doc_id", F.size("places.sections").alias("n_sections"), F.coalesce(first["parent"], F.lit(False)).alias("parent"), F.size("places.highlights").alias("n_highlights"), report.in_segment(F.col("places"), row).alias("in_segment"))
+
+
+NARRATIVES = """SELECT doc_id, concat(CASE doc_id % 6 WHEN 0 THEN concat('Sales, SEK billion: ', CAST(1 + doc_id % 90 AS STRING)) WHEN 1 THEN concat('The group had revenues of BSEK ', CAST(2 + doc_id % 70 AS STRING), '.5') WHEN 2 THEN 'Our target is revenues of BSEK 90' WHEN 3 THEN concat('Net sales amounted to SEK ', CAST(10 + doc_id % 80 AS STRING), ',427m') WHEN 4 THEN 'revenues of BSEK 0.2' ELSE '' END, '. ',
+  CASE doc_id % 5 WHEN 0 THEN 'a workforce of 14,500 and about 12,200 employees' WHEN 1 THEN concat('Koncernen hade ', CAST(10 + doc_id % 80 AS STRING), ' 345 anställda') WHEN 2 THEN 'employs 45 people' WHEN 3 THEN 'The number of employees increased from 900 to 11,000' ELSE '' END) AS text FROM {documents}"""
+
+
+@query("""SELECT doc_id, CAST(CASE doc_id % 6 WHEN 0 THEN 1000 * (1 + doc_id % 90) WHEN 1 THEN 1000 * (2 + doc_id % 70) + 500 WHEN 3 THEN 1000 * (10 + doc_id % 80) + 427 END AS DOUBLE) AS revenue, CAST(CASE doc_id % 5 WHEN 0 THEN 14500 WHEN 1 THEN 1000 * (10 + doc_id % 80) + 345 WHEN 3 THEN 11000 END AS DOUBLE) AS employees FROM documents""")
+def narrative_figures(spark, d):
+    t = surrogate.frame(spark, d, NARRATIVES)
+    return t.select("doc_id", narrative.narrative_revenue(F.col("text")).alias("revenue"), narrative.narrative_employees(F.col("text")).alias("employees"))
+
+
+_WORDS = "CASE c_custkey % 8 WHEN 0 THEN 'Anna Svensson' WHEN 1 THEN 'Group Management' WHEN 2 THEN 'North America' WHEN 3 THEN 'Firm Nord' WHEN 4 THEN 'The Board' WHEN 5 THEN 'Investor Relations' WHEN 6 THEN 'Eva Holding' ELSE 'Carl af Ek' END"
+
+
+@query(f"SELECT c_custkey, c_custkey % 8 NOT IN (1, 4, 6) AS person, c_custkey % 8 IN (2, 3, 5) AS rejected, c_custkey % 3 = 0 AS parent FROM (SELECT c_custkey, {_WORDS} AS name FROM customer) c")
+def name_checks(spark, d):
+    name = F.expr(_WORDS)
+    heading = F.when(F.col("c_custkey") % 3 == 0, "Parent company income statement").when(F.col("c_custkey") % 3 == 1, "Koncernens och moderbolagets resultaträkning").otherwise("Income statement")
+    c = spark.read.parquet(f"{d}/customer.parquet")
+    return c.select("c_custkey", (~report.no_name(name)).alias("person"), report.rejected_name(name, F.lit("Firm Nord AB")).alias("rejected"), report.parent_only(heading).alias("parent"))
