@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from loomspark.plans import company_queries, discovery_queries, document_queries, merge_queries, rank_queries, result_queries, row_queries, scanner_queries, text_queries  # noqa: F401  they register themselves
+from loomspark.plans import company_queries, discovery_queries, document_queries, merge_queries, rank_queries, result_queries, row_queries, scanner_queries, source_queries, text_queries  # noqa: F401  they register themselves
 from loomspark.plans.registry import ORACLES, QUERIES, Query
 
 

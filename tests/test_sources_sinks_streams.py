@@ -89,3 +89,47 @@ def test_streams(spark, tmp_path):
     streamed = logs.run_to_memory(logs.windowed_counts(logs.event_stream(spark, str(tmp_path / "events"))), "t_events")
     batch = logs.windowed_counts(spark.read.parquet(str(tmp_path / "events")).withColumn("ts", F.col("ts").cast("timestamp")))
     assert sorted(map(tuple, streamed.collect())) == sorted(map(tuple, batch.collect()))
+
+
+def test_single_files_are_replaced(spark, tmp_path):
+    path = f"{tmp_path}/one.json"
+    writers.replace_text(spark, path, '{"a": 1}')
+    writers.replace_text(spark, path, '{"a": "två"}')
+    assert json.loads((tmp_path / "one.json").read_text()) == {"a": "två"}
+    assert [p.name for p in tmp_path.iterdir() if p.suffix == ".json" or p.name.endswith(".tmp")] == ["one.json"]
+    writers.seed_results(spark, path, f"{tmp_path}/two.json")
+    assert (tmp_path / "two.json").read_text() == (tmp_path / "one.json").read_text()
+    (tmp_path / "bad.json").write_text("{oops")
+    with pytest.raises(ValueError, match="JSON"):
+        writers.seed_results(spark, f"{tmp_path}/bad.json", path)
+    assert json.loads((tmp_path / "one.json").read_text()) == {"a": "två"}
+
+
+def test_preflight_ledger_and_registry_files(spark, tmp_path):
+    rows = spark.createDataFrame([("A.ST", "Acme", None, 10, "low", [], []), ("B.ST", "Bolt", "https://b", 70, "high", ["x"], ["s"])], readers.PREFLIGHT_ROW)
+    writers.write_preflight(rows, f"{tmp_path}/p.json", "now")
+    r = readers.read_preflight(spark, f"{tmp_path}/p.json").first()
+    assert (r["generated_at"], r["company_count"], [x["ticker"] for x in r["results"]]) == ("now", 2, ["B.ST", "A.ST"])
+    ledger = spark.createDataFrame([("Acme", None), ("Bolt", "not_found")], "company string, ebit_msek string")
+    tallies = spark.createDataFrame([("ebit_msek", "not_found", 1)], "field string, reason string, n int")
+    writers.write_null_ledger(ledger, tallies, f"{tmp_path}/l.json", "now")
+    got = json.loads((tmp_path / "l.json").read_text())
+    assert got["source_row_count"] == 2 and got["tallies"] == {"ebit_msek": {"not_found": 1}} and got["per_row"][0] == {"company": "Acme", "ebit_msek": None}
+    writers.write_registry(spark.createDataFrame([("B.ST", "Bolt", "https://b"), ("A.ST", "Acme", None)], "ticker string, name string, irPage string"), f"{tmp_path}/r.json")
+    assert {r["ticker"]: r["ir_page"] for r in readers.read_registry(spark, f"{tmp_path}/r.json").collect()} == {"A.ST": None, "B.ST": "https://b"}
+
+
+def test_rule_and_list_files_of_any_kind(spark, tmp_path):
+    for name, text in (("missing", None), ("broken", "{oops"), ("list", "[1, 2]"), ("object", "{}")):
+        path = tmp_path / name
+        if text is not None:
+            path.write_text(text)
+        assert readers.read_collision_rules(spark, str(path)).count() == 0 and readers.read_hard_list(spark, str(path)).count() == 0
+        assert readers.read_preflight(spark, str(path)).count() == (1 if name in ("list", "object") else 0)
+
+
+def test_binary_answers(spark, tmp_path):
+    (tmp_path / "https%3A%2F%2Fx.example%2Fa.pdf").write_bytes(b"%PDF-1")
+    (tmp_path / "https%3A%2F%2Fx.example%2Fb").write_bytes(b"")
+    got = {r["url"]: bytes(r["content"]) for r in readers.read_binaries(spark, str(tmp_path)).collect()}
+    assert got == {"https://x.example/a.pdf": b"%PDF-1"}
