@@ -37,7 +37,7 @@ _TRIES = " UNION ALL ".join(
 
 @query(f"WITH l AS ({_LINES}), t AS ({_TRIES}), n AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY p, k, line_no) AS n FROM t) SELECT doc_id, [{', '.join(repr(x) for x in LABELS)}][k + 1] AS label, CAST(line_no AS INT) AS line_no, CAST(p AS INT) AS pass_no FROM n WHERE n = 1")
 def label_first_match(spark, d):
-    return ln.label_first_match(lines(spark, d), LABELS)
+    return ln.label_first_match(documents(spark, d), LABELS)
 
 
 _KIND = f"CASE WHEN regexp_matches(line, '{HEADING}') THEN 'heading' WHEN length(line) > 400 THEN 'statement' END"
@@ -45,8 +45,8 @@ _KIND = f"CASE WHEN regexp_matches(line, '{HEADING}') THEN 'heading' WHEN length
 
 @query(f"SELECT doc_id, CAST(line_no AS INT) AS line_no, last_value({_KIND} IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY line_no ROWS BETWEEN 40 PRECEDING AND CURRENT ROW) AS above FROM ({_LINES}) l")
 def asof_heading(spark, d):
-    kind = F.when(F.col("line").rlike(HEADING), "heading").when(F.length("line") > 400, "statement")
-    return ln.nearest_above(lines(spark, d), kind, 40).select("doc_id", "line_no", "above")
+    kind = lambda line: F.when(line.rlike(HEADING), "heading").when(F.length(line) > 400, "statement")
+    return ln.nearest_above(documents(spark, d), kind, 40).select("doc_id", "line_no", "above")
 
 
 _H = "CASE WHEN len(regexp_extract_all(line, '([a-z]*tion)', 1)) >= 2 THEN array_to_string(regexp_extract_all(line, '([a-z]*tion)', 1), ',') END"
@@ -54,7 +54,7 @@ _H = "CASE WHEN len(regexp_extract_all(line, '([a-z]*tion)', 1)) >= 2 THEN array
 
 @query(f"SELECT doc_id, CAST(line_no AS INT) AS line_no, coalesce(lag(h, 1) OVER w, lag(h, 2) OVER w, lag(h, 3) OVER w) AS header FROM (SELECT doc_id, line_no, {_H} AS h FROM ({_LINES}) l) x WINDOW w AS (PARTITION BY doc_id ORDER BY line_no)")
 def header_lookup(spark, d):
-    return ln.header_years(lines(spark, d), pattern="([a-z]*tion)").select("doc_id", "line_no", "header")
+    return ln.header_years(documents(spark, d), pattern="([a-z]*tion)").select("doc_id", "line_no", "header")
 
 
 _E = f"""SELECT *, row_number() OVER w AS n, count(*) OVER (PARTITION BY doc_id) AS total, {_KIND} = 'heading' AND {_KIND} IS NOT NULL AS start, {_KIND} IS NOT NULL AS edge FROM ({_LINES}) l WINDOW w AS (PARTITION BY doc_id ORDER BY line_no)"""
@@ -62,25 +62,24 @@ _E = f"""SELECT *, row_number() OVER w AS n, count(*) OVER (PARTITION BY doc_id)
 
 @query(f"SELECT doc_id, CAST(n AS INT) AS first_row, CAST(least(coalesce(nxt - 1, total), n + 79) AS INT) AS last_row FROM (SELECT *, min(CASE WHEN edge THEN n END) OVER (PARTITION BY doc_id ORDER BY n ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS nxt FROM ({_E}) e) x WHERE start")
 def section_windows(spark, d):
-    heading = F.col("line").rlike(HEADING)
-    return ln.sections(lines(spark, d), heading, ~heading & (F.length("line") > 400))
+    return ln.sections(documents(spark, d), lambda line: line.rlike(HEADING), lambda line: ~line.rlike(HEADING) & (F.length(line) > 400))
 
 
 @query(f"WITH l AS ({_LINES}), a AS (SELECT * FROM l WHERE length(line) < 60), b AS (SELECT * FROM l WHERE length(line) > 300) SELECT a.doc_id, CAST(a.line_no AS INT) AS l_line, CAST(min(b.line_no) AS INT) AS r_line FROM a JOIN b ON a.doc_id = b.doc_id AND abs(a.line_no - b.line_no) <= 15 GROUP BY 1, 2")
 def range_pair(spark, d):
-    l = lines(spark, d)  # noqa: E741
-    return ln.pair_within(l.where(F.length("line") < 60), l.where(F.length("line") > 300), 15)
+    return ln.pair_within(documents(spark, d), lambda line: F.length(line) < 60, lambda line: F.length(line) > 300, 15)
 
 
 @query(f"SELECT doc_id, CAST(line_no AS INT) AS line_no, md5(array_to_string(array_agg(line) OVER (PARTITION BY doc_id ORDER BY line_no ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING), '|')) AS context FROM ({_LINES}) l")
 def context_window(spark, d):
-    return ln.context(lines(spark, d), 2, 2).select("doc_id", "line_no", F.md5(F.col("context").cast("binary")).alias("context"))
+    return ln.context(documents(spark, d), 2, 2).select("doc_id", "line_no", F.md5(F.col("context").cast("binary")).alias("context"))
 
 
 @query(f"""WITH r AS (SELECT *, sum(CASE WHEN start THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY n ROWS UNBOUNDED PRECEDING) AS run FROM ({_E}) e), m AS (SELECT *, row_number() OVER (PARTITION BY doc_id, run ORDER BY n) - 1 AS k FROM r WHERE run > 0)
 SELECT doc_id, CAST(run AS INT) AS run, CAST(sum(length(line)) AS BIGINT) AS total, count(*) AS n FROM m WHERE k BETWEEN 1 AND 22 GROUP BY 1, 2 HAVING count(*) >= 2""")
 def segment_sums(spark, d):
-    return ln.segment_sums(lines(spark, d), F.col("line").rlike(HEADING), F.length("line"))
+    sums = ln.segment_sums(documents(spark, d), lambda line: line.rlike(HEADING), lambda line: F.length(line).cast("double"))
+    return sums.withColumn("total", F.col("total").cast("long"))
 
 
 @query("SELECT doc_id, md5(regexp_replace(regexp_replace(text, '[ \\t]+', ' ', 'g'), '\\n{4,}', chr(10) || chr(10) || chr(10), 'g')) AS digest FROM documents")
