@@ -69,6 +69,20 @@ def parse_statutory(raw: Column) -> Column:
     return F.when(number.rlike(r"^-?\d+(\.\d+)?$"), number.cast("double") * factor)
 
 
+def substantial_number(line: Column, below: Column, least: float) -> Column:
+    """The first figure of four digits or more on a line, or else on the one below it, of an amount of ``least`` at least in its own unit; in millions."""
+    pattern = r"([-–−]?\d[\d\s,.]{2,}\d(?:\s*(?:tkr|mkr|mdr|kr))?)"
+    found = F.concat(*(F.regexp_extract_all(F.lower(F.coalesce(c, F.lit(""))), F.lit(pattern), F.lit(1)) for c in (line, below)))
+    long = F.filter(found, lambda x: F.length(F.regexp_replace(x, r"\D", "")) >= 4)
+
+    def value(raw: Column) -> Column:
+        number = F.regexp_replace(F.regexp_replace(F.regexp_replace(F.regexp_replace(raw, r"[a-zåäö]", ""), r"[\s.]", ""), r"[–−]", "-"), ",", ".")
+        factor = F.when(raw.contains("mdr"), 1000.0).when(raw.contains("mkr"), 1.0).when(raw.rlike(r"(?<!t)(?<!m)kr$"), 0.000001).otherwise(0.001)
+        return F.struct(F.abs(number.try_cast("double")).alias("size"), (number.try_cast("double") * factor).alias("msek"))
+
+    return F.get(F.filter(F.transform(long, value), lambda v: v["size"] >= least), F.lit(0))["msek"]
+
+
 def parse_co2(raw: Column) -> Column:
     """Tonnes: ``12.500`` and ``12,500`` are thousands; kt and million multiply."""
     low = F.lower(raw)

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from loomspark.functions.texts import ticker_key
 from loomspark.operators.merge import dedupe_first
 
 # Path templates of report addresses.
@@ -77,14 +78,11 @@ def brand_trust(host: Column, slugs: Column) -> Column:
 
 
 def tier_ladder(companies: DataFrame, tiers: list[DataFrame], key: str = "company_id") -> DataFrame:
-    """Each company's row of the first tier that has one. Later tiers lose the finished companies before they are joined, so they needn't be computed for them."""
-    done: DataFrame | None = None
-    left = companies.select(key)
-    for i, tier in enumerate(tiers):
-        found = tier.join(left, key, "left_semi").withColumn("tier", F.lit(i))
-        done = found if done is None else done.unionByName(found)
-        left = left.join(found.select(key), key, "left_anti")
-    return done
+    """Each company's row of the first tier that has one: one pre-aggregated minimum over the tiers' union, so no tier's plan holds another's. Tiers have the same columns and a row a company."""
+    rows = reduce(DataFrame.unionByName, [t.withColumn("tier", F.lit(i)) for i, t in enumerate(tiers)])
+    columns = [c for c in rows.columns if c != key]
+    first = rows.groupBy(key).agg(F.min_by(F.struct(*columns), "tier").alias("first")).select(key, "first.*")
+    return first.join(companies.select(key), key, "left_semi")
 
 
 def repick_employees(matches: DataFrame, key: str = "company_id") -> DataFrame:
@@ -118,6 +116,17 @@ def collated(rows: DataFrame, *columns: str, locale: str = "sv") -> DataFrame:
     return rows.orderBy(*(F.collate(F.col(c), locale) for c in columns))
 
 
+def profiles(tickers: DataFrame, registry: DataFrame) -> DataFrame:
+    """A profile for each ticker of the list, in the order of the tickers: the registry's fields by the usual fallback of keys, the ticker itself where it has no name."""
+    asked = tickers.select(F.col("ticker").alias("asked")).distinct()
+    keys = F.array(F.struct(F.lit(0).alias("rank"), F.col("asked").alias("key")), F.struct(F.lit(1).alias("rank"), F.upper(F.trim("asked")).alias("key")), F.struct(F.lit(2).alias("rank"), ticker_key(F.col("asked")).alias("key")))
+    tries = asked.select("asked", F.explode(keys).alias("k")).select("asked", "k.*")
+    fields = [c for c in registry.columns if c != "ticker"]
+    hit = tries.join(registry.withColumnRenamed("ticker", "key"), "key").groupBy("asked").agg(F.min_by(F.struct(*fields), "rank").alias("r"))
+    rows = asked.join(hit, "asked", "left").select(F.col("asked").alias("raw"), ticker_key(F.col("asked")).alias("ticker"), F.coalesce("r.name", "asked").alias("name"), *(F.col(f"r.{c}").alias(c) for c in fields if c != "name"))
+    return rows.orderBy("raw")
+
+
 def fixed_width(*parts: tuple[str, int]) -> Column:
     """A report line: columns padded or cut to their widths."""
     return F.concat(*(F.rpad(F.coalesce(F.col(c).cast("string"), F.lit("-")), w, " ") for c, w in parts))

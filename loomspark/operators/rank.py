@@ -5,6 +5,8 @@ Rules are data: (pattern, points) tables become one summed column, so there is n
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -174,12 +176,24 @@ def entity_adjustment(host: Column, tokens: Column, ambiguity: Column, url: Colu
     return F.when(host.isNull(), 0).otherwise(by_host + by_number)
 
 
+#: Rules of a configuration file; more are an error and not a plan of any size.
+MOST_RULES = 2_000
+
+
 def reject_collisions(candidates: DataFrame, rules: DataFrame, host: Column) -> DataFrame:
-    """Candidates without those on a host that a rule of their company name rejects. Rules (name_pattern, host_part) are a configuration file; they are left to the
-    optimizer, which broadcasts them by their size."""
-    tagged = candidates.withColumn("_host", host)
-    hit = F.expr("lower(company) RLIKE name_pattern AND contains(_host, host_part)")
-    return tagged.join(rules, hit, "left_anti").drop("_host")
+    """Candidates without those on a host that a rule of their company name rejects. The rules (name_pattern, host_part) are folded into the plan as one condition, by host part, so there is no join: a
+    name is looked at only where a part of the host fits."""
+    read = rules.select("name_pattern", "host_part").distinct().limit(MOST_RULES + 1).collect()
+    if len(read) > MOST_RULES:
+        raise ValueError(f"more than {MOST_RULES} collision rules")
+    if not read:
+        return candidates
+    patterns: dict[str, list[str]] = {}
+    for r in read:
+        patterns.setdefault(r["host_part"], []).append(f"(?:{r['name_pattern']})")
+    name = F.lower("company")
+    hit = reduce(Column.__or__, [F.coalesce(host.contains(part) & name.rlike("|".join(sorted(p))), F.lit(False)) for part, p in sorted(patterns.items())])
+    return candidates.where(~hit)
 
 
 def top_n(candidates: DataFrame, n: int, key: str = "company_id") -> DataFrame:

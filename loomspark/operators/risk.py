@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loomspark.functions.texts import host_key
 from loomspark.functions.rounding import matches
 from loomspark.operators.quality import with_status
 
@@ -74,6 +75,13 @@ def page_signals(pages: DataFrame, html: str = "html") -> DataFrame:
     return pages.withColumns({"annual_words": words, "pdf_links": count(r'\.pdf(\?|")'), "scripts": count(r"<script[\s>]"), "anchors": count(r"<a[\s>]"), "challenged": hay.rlike(ANTI_BOT)})
 
 
+def host_drift(final_url: Column, domains: Column) -> Column:
+    """The page that answered is on none of the candidate domains; without domains or a host there is no telling, so false."""
+    host = host_key(final_url)
+    names = F.filter(F.transform(domains, lambda d: F.when(d.startswith("http"), host_key(d)).otherwise(F.regexp_replace(F.lower(d), r"^www\.", ""))), lambda n: n.isNotNull() & (n != ""))
+    return F.coalesce((F.size(domains) > 0) & host.isNotNull() & ~F.exists(names, lambda n: host.contains(n)), F.lit(False))
+
+
 def preflight_risk(checks: DataFrame) -> DataFrame:
     """``checks``: page signals with ``status_code, response_ms, host_drift``."""
     rules = [

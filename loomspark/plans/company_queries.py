@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from loomspark.functions import numbers as num
 from loomspark.functions import texts
 from loomspark.operators import company as c
-from loomspark.operators import rank
+from loomspark.operators import rank, risk
 from loomspark.plans.merge_queries import C, candidates
 from loomspark.plans.rank_queries import sql_year
 from loomspark.plans.registry import query
@@ -103,3 +104,33 @@ def link_text(spark, d):
     return pages.select("page_id", c.plain_link(F.concat(F.lit("see "), "url", F.lit(" or "), "url")).alias("link"))
 
 
+
+
+@query("SELECT s_suppkey, s_suppkey % 4 = 1 OR s_suppkey % 4 = 3 AND s_suppkey % 5 <> 0 AS drift FROM supplier")
+def host_drift(spark, d):
+    """Hosts beside candidate domains: equal, another, no domains, and a domain as an address that fits every fifth."""
+    i = F.col("s_suppkey") % 4
+    n = F.col("s_suppkey").cast("string")
+    url = F.when(i == 3, F.concat(F.lit("https://www.group"), (F.col("s_suppkey") % 5).cast("string"), F.lit(".example/ir"))).otherwise(F.concat(F.lit("https://www.site"), n, F.lit(".example/x")))
+    domains = F.when(i == 0, F.array(F.lit("other.example"), F.concat(F.lit("www.Site"), n, F.lit(".example")))).when(i == 1, F.array(F.lit("other.example"))).when(i == 2, F.array().cast("array<string>")).otherwise(F.array(F.lit("https://www.group0.example/about")))
+    return spark.read.parquet(f"{d}/supplier.parquet").select("s_suppkey", risk.host_drift(url, domains).alias("drift"))
+
+
+@query("SELECT concat('volv', chr(97 + CAST(s_suppkey % 26 AS INT)), ' b') AS raw, concat('VOLV', upper(chr(97 + CAST(s_suppkey % 26 AS INT))), '-B.ST') AS ticker, CASE WHEN s_suppkey % 2 = 0 THEN concat('Firm ', s_suppkey) ELSE concat('volv', chr(97 + CAST(s_suppkey % 26 AS INT)), ' b') END AS name, CASE WHEN s_suppkey % 2 = 0 THEN 'https://ir' END AS ir_page FROM supplier WHERE s_suppkey < 26")
+def ticker_profiles(spark, d):
+    s = spark.read.parquet(f"{d}/supplier.parquet").where("s_suppkey < 26")
+    letter = F.expr("chr(97 + s_suppkey % 26)")
+    asked = s.select(F.concat(F.lit("volv"), letter, F.lit(" b")).alias("ticker"))
+    registry = s.where("s_suppkey % 2 = 0").select(F.concat(F.lit("VOLV"), F.upper(letter), F.lit("-B.ST")).alias("ticker"), F.concat(F.lit("Firm "), F.col("s_suppkey").cast("string")).alias("name"), F.lit("https://ir").alias("ir_page"))
+    return c.profiles(asked, registry)
+
+
+@query("SELECT p_partkey, CAST(CASE p_partkey % 6 WHEN 0 THEN (1000 + p_partkey) / 1000.0 WHEN 1 THEN 2000 + p_partkey WHEN 2 THEN NULL WHEN 3 THEN -(5000 + p_partkey) / 1000.0 WHEN 4 THEN (10000 + p_partkey) / 1000.0 ELSE NULL END AS DOUBLE) AS msek FROM part")
+def substantial_numbers(spark, d):
+    n = F.col("p_partkey")
+    t = lambda base: (n + base).cast("string")
+    i = n % 6
+    line = F.when(i == 0, F.concat(F.lit("Omsättning "), t(1000), F.lit(" tkr"))).when(i == 1, F.concat(F.lit("Revenue 12 "), F.lit("x "), t(2000), F.lit(" mkr"))).when(i == 2, "Year 123").when(i == 3, F.concat(F.lit("Result –"), t(5000))).when(i == 4, "Sales").otherwise("Note 2024")
+    below = F.when(i == 4, t(10000)).when(i == 5, "12").otherwise("7 x")
+    part = spark.read.parquet(f"{d}/part.parquet")
+    return part.select("p_partkey", F.when(i == 5, num.substantial_number(line, below, 3000)).otherwise(num.substantial_number(line, below, 100)).alias("msek"))
