@@ -121,7 +121,8 @@ def label_hits(lines: Column, labels: list[str] | tuple[Column, str], passes: tu
 def first_figure(lines: Column, labels: list[str], year: str | None = None) -> Column:
     """``struct<value, label, no>`` of the first labelled line, in the order pass, label, line, with a value that can be picked."""
     def value(hit: Column) -> Column:
-        tail = F.substring(F.get(lines, hit["no"])["line"], hit["after"], F.lit(100_000))
+        line = F.get(lines, hit["no"])["line"]
+        tail = F.substring(line, hit["after"], F.length(line))
         below = F.coalesce(F.get(lines, hit["no"] + 1)["line"], F.lit(""))
         cut = F.when(tail.rlike(r"\d"), tail).otherwise(F.when(below.rlike(r"^[\s\d(–−-]"), below).otherwise(F.lit("")))
         return F.struct(pick_cell(cells(cut), header_above(lines, hit["no"]), year).alias("value"), hit["label"].alias("label"), hit["no"].alias("no"))
@@ -176,7 +177,8 @@ def ebit_ladder(docs: DataFrame, kind: str = "industrial", year: str | None = No
 def first_figure_plain(lines: Column, labels: list[str], year: str | None = None) -> Column:
     """As ``first_figure``, without excluded prefixes: for labels that are themselves qualified."""
     def value(hit: Column) -> Column:
-        tail = F.substring(F.get(lines, hit["no"])["line"], hit["after"], F.lit(100_000))
+        line = F.get(lines, hit["no"])["line"]
+        tail = F.substring(line, hit["after"], F.length(line))
         return F.struct(pick_cell(cells(tail), header_above(lines, hit["no"]), year).alias("value"), hit["label"].alias("label"), hit["no"].alias("no"))
 
     hits = label_hits(lines, labels, excluded=("never before",))
@@ -191,7 +193,7 @@ def employees(docs: DataFrame, year: str | None = None) -> DataFrame:
 
 
 def chief_executive(docs: DataFrame, window: int = 800) -> DataFrame:
-    """``doc_id, ceo``: a person's name beside a label among the first lines: after it, before it, or on the line above or below; label order first."""
+    """``doc_id, ceo``: a person's name beside a label among the first 800 lines, as the rule has it: after it, before it, or on the line above or below; label order first."""
     rows = with_lines(docs)
     lines = F.slice("lines", 1, window)
 

@@ -80,9 +80,9 @@ def top_gap_confidence(spark, d):
 _HOST = "regexp_replace(lower(regexp_extract(url, '://([^/]*)', 1)), '^www\\.', '')"
 
 
-@query(f"""SELECT company_id, ord, CAST(CASE WHEN company_id % 3 = 0 THEN CASE WHEN contains(host, 'ir3.example') THEN 8 ELSE -22 END WHEN contains(host, 'ir3.example') THEN 4 ELSE 0 END + CASE WHEN contains(lower(url), '2018') AND false THEN 5 ELSE 0 END AS INT) AS adjustment FROM (SELECT *, {_HOST} AS host FROM ({C}) c) x""")
+@query(f"""SELECT company_id, ord, CAST(CASE WHEN company_id % 3 = 0 THEN CASE WHEN contains(host, 'ir3.example') THEN 8 ELSE -22 END WHEN contains(host, 'ir3.example') THEN 4 ELSE 0 END + CASE WHEN company_id % 4 = 0 THEN 5 ELSE 0 END AS INT) AS adjustment FROM (SELECT *, {_HOST} AS host FROM ({C}) c) x""")
 def entity_adjust(spark, d):
-    c = candidates(spark, d)
+    c = candidates(spark, d).withColumn("url", F.when(F.col("company_id") % 4 == 0, F.concat("url", F.lit("?org=55601234"))).otherwise(F.col("url")))
     level = F.when(F.col("company_id") % 3 == 0, "high").otherwise("low")
     adjustment = r.entity_adjustment(texts.host_key(F.col("url")), F.array(F.lit("ir3.example"), F.lit("abc")), level, F.col("url"), F.lit("5560-1234"))
     return c.select("company_id", "ord", adjustment.alias("adjustment"))

@@ -54,7 +54,7 @@ def child_timeouts(spark, d):
 @query(f"SELECT company_id, event_type AS stage, duration_ms, CASE event_type WHEN 'view' THEN 3000 WHEN 'click' THEN 5000 END AS budget_ms, concat('Stage budget exhausted for ', event_type) AS note FROM ({_FETCHED}) f WHERE duration_ms > CASE event_type WHEN 'view' THEN 3000 WHEN 'click' THEN 5000 END")
 def stage_budgets(spark, d):
     runs = surrogate.frame(spark, d, surrogate.FETCHES).select("company_id", F.col("event_type").alias("stage"), "duration_ms")
-    return ro.over_budget(runs, {"view": 3000, "click": 5000}).withColumn("budget_ms", F.col("budget_ms").cast("long"))
+    return ro.over_budget(runs, {"view": 3000, "click": 5000})
 
 
 _REASONS = "CASE l_partkey % 4 WHEN 0 THEN 'quality-gate' WHEN 1 THEN 'entity-check' WHEN 2 THEN 'download' ELSE 'bank-employees' END"

@@ -149,10 +149,21 @@ def render_parse_roundtrip(spark, d):
     return found.select(F.col("doc_id").alias("company_id"), "unit", F.round("msek", 3).alias("revenue"))
 
 
-@query(f"SELECT company_id, CAST(value AS DOUBLE) AS value, contains(CAST(value AS STRING), '2024') AND false AS fused FROM ({surrogate.text(_TRUTH)}) t")
+@query(f"""SELECT company_id, CAST(CASE company_id % 6 WHEN 2 THEN -value WHEN 3 THEN -value WHEN 4 THEN value + 0.5 WHEN 5 THEN NULL ELSE value END AS DOUBLE) AS value, company_id % 7 = 0 OR regexp_matches(CAST(value AS VARCHAR), '(20[0-9][0-9]){{2}}') AS fused
+FROM (SELECT company_id, CASE WHEN company_id % 7 = 0 THEN 20232024 ELSE value END AS value FROM ({surrogate.text(_TRUTH)}) t) x""")
 def parse_numbers(spark, d):
-    truth = surrogate.frame(spark, d, _TRUTH)
-    return truth.select("company_id", num.parse_number(F.concat(F.lit("SEK "), F.format_number("value", 0), F.lit(" m"))).alias("value"), num.fused_years(F.col("value")).alias("fused"))
+    """Thousands by commas and spaces, brackets, minus signs, a decimal comma, and what is no number."""
+    truth = surrogate.frame(spark, d, _TRUTH).withColumn("value", F.when(F.col("company_id") % 7 == 0, F.lit(20232024)).otherwise(F.col("value")))
+    grouped, plain, i = F.format_number("value", 0), F.col("value").cast("string"), F.col("company_id") % 6
+    cell = (
+        F.when(i == 0, F.concat(F.lit("SEK "), grouped, F.lit(" m")))
+        .when(i == 1, F.regexp_replace(grouped, ",", " "))
+        .when(i == 2, F.concat(F.lit("("), grouped, F.lit(")")))
+        .when(i == 3, F.concat(F.lit("−"), plain))
+        .when(i == 4, F.concat(plain, F.lit(",5")))
+        .otherwise("n/a")
+    )
+    return truth.select("company_id", num.parse_number(cell).alias("value"), num.fused_years(F.col("value")).alias("fused"))
 
 
 @query(f"SELECT company_id, unit FROM ({surrogate.text(_TRUTH)}) t")

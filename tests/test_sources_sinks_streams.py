@@ -133,3 +133,31 @@ def test_binary_answers(spark, tmp_path):
     (tmp_path / "https%3A%2F%2Fx.example%2Fb").write_bytes(b"")
     got = {r["url"]: bytes(r["content"]) for r in readers.read_binaries(spark, str(tmp_path)).collect()}
     assert got == {"https://x.example/a.pdf": b"%PDF-1"}
+
+
+def test_rows_logs_and_texts_are_written_and_read_back(spark, tmp_path):
+    rows = spark.createDataFrame([("Acme", None, 2024), ("Bolt", "B.ST", 2023)], "company string, ticker string, fiscal_year int")
+    writers.write_results(rows, f"{tmp_path}/rows")
+    assert sorted(tuple(r) for r in spark.read.schema(rows.schema).json(f"{tmp_path}/rows").collect()) == sorted(tuple(r) for r in rows.collect())
+    assert '"ticker":null' in "".join(r[0] for r in spark.read.text(f"{tmp_path}/rows").collect())
+    texts = spark.createDataFrame([(1, "a", 2024), (2, "b", 2023), (3, None, 2024)], "doc_id long, text string, fiscal_year int")
+    writers.write_year_partitioned(texts, f"{tmp_path}/texts")
+    assert spark.read.parquet(f"{tmp_path}/texts").where("fiscal_year = 2024").count() == 2
+    log = spark.createDataFrame([("https://a", 200, "x", "http", 1), ("https://a", 200, "y", "browser", 2), ("https://b", 404, "z", "http", 3)], "url string, status int, body string, transport string, ord long")
+    log.write.parquet(f"{tmp_path}/log")
+    read = readers.read_fetch_log(spark, f"{tmp_path}/log")
+    assert read.columns[:3] == ["url", "final_url", "host"] and [r["body"] for r in readers.page_texts(read).collect()] == ["y"]
+    assert [r["body"] for r in readers.page_texts(read, "http").collect()] == ["x"]
+
+
+def test_collated_order_and_unmatched_seeds(spark):
+    from loomspark.functions import numbers
+    from loomspark.operators import company
+
+    names = spark.createDataFrame([(n,) for n in ("Öst", "alfa", "Zeta", "Ära", "Åre")], "name string")
+    assert [r[0] for r in company.collated(names, "name").collect()] == ["alfa", "Zeta", "Åre", "Ära", "Öst"]
+    registry = spark.createDataFrame([("VOLV-B.ST", None)], "ticker string, url string")
+    seeds = spark.createDataFrame([("volv b", "https://v"), ("none a", "https://n")], "symbol string, url string")
+    assert [r["symbol"] for r in company.unmatched_seeds(registry, seeds).collect()] == ["none a"]
+    got = names.select(numbers.plausible(F.lit(5.0), 1, 10).alias("a"), numbers.plausible(F.lit(50.0), 1, 10).alias("b")).first()
+    assert tuple(got) == (5.0, None)
