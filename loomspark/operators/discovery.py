@@ -244,3 +244,27 @@ def rendered_skip(url: Column, enabled: bool, disabled_hosts: tuple[str, ...]) -
     """Whether the browser is not used: it is off, or the host is on the list."""
     host = F.regexp_replace(urls.host(url), r"^www\.", "")
     return F.lit(not enabled) | F.coalesce(host.isin(*disabled_hosts) if disabled_hosts else F.lit(False), F.lit(False))
+
+
+#: Sites about companies, which are no company's own.
+PORTALS = r"bing|google|duckduckgo|youtube|facebook|twitter|linkedin|allabolag|avanza|nasdaq|bloomberg|wikipedia|reuters|ft\.com|di\.se"
+
+
+def corporate_domains(results: DataFrame, fetches: DataFrame, portals: str = PORTALS) -> DataFrame:
+    """``company_id, url, host, score, rank``: a company's own sites among search results, best first.
+
+    ``results`` has company_id, query_no, ord, url, title, snippet, slugs. PDF files, portals and hosts without any of the company's slugs are left out (without slugs any host is trusted), as are origins that the log
+    hasn't answered. Of a host the first result counts: the lengths of the slugs it holds, 12 at most each, 8 more for investor wording, 4 for an official page.
+    """
+    host = F.regexp_replace(urls.host(F.col("url")), r"^www\.", "")
+    rows = results.withColumn("host", host).where(F.col("host").isNotNull() & ~matches("url", PDF) & ~matches("host", portals))
+    rows = rows.where((F.size("slugs") == 0) | F.exists("slugs", lambda s: F.col("host").contains(s)))
+    rows = rows.withColumn("origin", F.concat(F.lower(F.regexp_extract("url", r"(?i)^(https?://[^/?#]+)", 1)), F.lit("/")))
+    answered = fetches.where("status < 400").groupBy(F.col("url").alias("origin")).agg(F.first("final_url", ignorenulls=True).alias("final_url"))
+    first = rows.join(answered, "origin").groupBy("company_id", "host").agg(F.min_by(F.struct("query_no", "ord", "origin", "final_url", "url", "title", "snippet", "slugs"), F.struct("query_no", "ord")).alias("b")).select("company_id", "host", "b.*")
+    names = F.aggregate("slugs", F.lit(0), lambda a, s: a + F.when(F.col("host").contains(s), F.least(F.length(s), F.lit(12))).otherwise(0))
+    blob = F.concat_ws(" ", "url", "title", "snippet")
+    score = names + F.when(matches(blob, r"investor|investerare|ir\b|financial\s+reports"), 8).otherwise(0) + F.when(matches(blob, "official|corporate|homepage|hemsida"), 4).otherwise(0)
+    order = Window.partitionBy("company_id").orderBy(F.desc("score"), "query_no", "ord")
+    found = first.withColumn("score", score.cast("int")).withColumn("rank", F.row_number().over(order))
+    return found.select("company_id", F.regexp_replace(F.coalesce("final_url", "origin"), "/$", "").alias("url"), "host", "score", "rank")

@@ -173,3 +173,22 @@ def investor_page(spark, d):
     fetches = page("/investors/none", "nothing", F.lit(True)).unionAll(page("/ir/start", "Annual report", i == 0)).unionAll(page("/investors", "<a href='x.pdf'>", i <= 1)).unionAll(page("/map", "in 2025", i <= 2))
     fetches = fetches.unionAll(spark.createDataFrame([("https://elsewhere.example/investor-relations", "annual report", 200)], "url string, body string, status int"))
     return di.investor_tiers(links, "home", at("/investors", 0), at("/map", 0), fetches, YEAR)
+
+
+_HITS = """SELECT l_orderkey AS company_id, l_linenumber % 2 AS query_no, l_linenumber AS ord, CASE (l_orderkey + l_linenumber % 2 * 3 + l_linenumber) % 5 WHEN 0 THEN concat('https://www.firm', CAST(l_orderkey AS STRING), '.example/investor') WHEN 1 THEN concat('https://ir.firm', CAST(l_orderkey AS STRING), '.example/start')
+  WHEN 2 THEN 'https://www.allabolag.se/x' WHEN 3 THEN 'https://unrelated.example/firm' ELSE concat('https://firm', CAST(l_orderkey AS STRING), '.example/report.pdf') END AS url, CASE l_linenumber % 3 WHEN 0 THEN 'Official site' ELSE 'Page' END AS title
+  FROM (SELECT l_orderkey, l_linenumber FROM {lineitem} GROUP BY l_orderkey, l_linenumber) x"""
+_HITS_SQL = surrogate.text(_HITS).replace("AS STRING", "AS VARCHAR")
+
+
+@query(f"""WITH k AS (SELECT *, (company_id + query_no * 3 + ord) % 5 AS kind FROM ({_HITS_SQL}) h WHERE (company_id + query_no * 3 + ord) % 5 < 2 AND NOT (company_id % 4 = 0 AND (company_id + query_no * 3 + ord) % 5 = 1)),
+f AS (SELECT *, row_number() OVER (PARTITION BY company_id, kind ORDER BY query_no, ord) AS n FROM k), s AS (SELECT *, least(12, length(concat('firm', company_id))) + CASE WHEN kind = 0 THEN 8 WHEN regexp_matches('ir.firm', 'ir\\b') THEN 8 ELSE 0 END + CASE WHEN ord % 3 = 0 THEN 4 ELSE 0 END AS score FROM f WHERE n = 1)
+SELECT company_id, CASE WHEN kind = 0 THEN concat('https://final', company_id) ELSE concat('https://ir.firm', company_id, '.example') END AS url, concat(CASE WHEN kind = 1 THEN 'ir.' ELSE '' END, 'firm', company_id, '.example') AS host, CAST(score AS INT) AS score, CAST(row_number() OVER (PARTITION BY company_id ORDER BY score DESC, query_no, ord) AS INT) AS rank FROM s""")
+def corporate_domains(spark, d):
+    """Portals, other companies and files are passed over; an origin that the log doesn't know is none."""
+    hits = surrogate.frame(spark, d, _HITS).withColumns({"snippet": F.lit(""), "slugs": F.array(F.concat(F.lit("firm"), F.col("company_id").cast("string")), F.lit("zzz"))})
+    c = spark.read.parquet(f"{d}/orders.parquet").select(F.col("o_orderkey").alias("k"))
+    n = F.col("k").cast("string")
+    main = c.select(F.concat(F.lit("https://www.firm"), n, F.lit(".example/")).alias("url"), F.concat(F.lit("https://final"), n, F.lit("/")).alias("final_url"), F.lit(200).alias("status"))
+    side = c.select(F.concat(F.lit("https://ir.firm"), n, F.lit(".example/")).alias("url"), F.lit(None).cast("string").alias("final_url"), F.when(F.col("k") % 4 == 0, 404).otherwise(200).alias("status"))
+    return di.corporate_domains(hits, main.unionAll(side))
