@@ -243,11 +243,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     same = source["doc_id"].eqNullSafe(F.col("id")) & (source["raw"] == F.col("hash"))
     texts = source.join(wanted.hint("merge"), same).groupBy("node").agg(F.min("text").alias("text"))
     sets = scratch.save(texts.mapInArrow(_sets(shingle), _SET).join(loose.hint("merge"), "node"), "sets")
-    # Only the few large components need their number of parts; they are met in as many places as there are salts, so that none gathers in one task.
+    # Only the few large components need their number of parts. The optimizer broadcasts them if their size allows; else they are met in as many places as there are salts, so that none gathers in one task.
     large = sets.groupBy("component").agg(F.sum("size").alias("total")).where(F.col("total") > SPLIT)
     large = large.select("component", "total", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
     parts = F.greatest(F.least(F.ceil(F.col("total") / SPLIT), F.lit(16)), F.ceil(F.col("total") / ROOM)).cast("int")
-    salted = sets.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int")).join(large.hint("merge"), ["component", "salt"], "left")
+    salted = sets.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int")).join(large, ["component", "salt"], "left")
     placed = salted.withColumn("parts", F.coalesce(parts, F.lit(1))).withColumn("own", F.pmod(F.xxhash64("node", F.lit(1)), F.col("parts")).cast("int"))
     both = placed.select("component", "node", "shingles", "own", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("next"))
     both = both.select("component", "node", "shingles", F.least("own", "next").alias("one"), F.greatest("own", "next").alias("other"))
