@@ -134,14 +134,13 @@ CASE WHEN c_custkey % 4 = 0 THEN p WHEN c_custkey % 3 = 0 THEN CAST(222 AS DOUBL
 CASE c_custkey % 5 WHEN 0 THEN 'Anna Svensson' WHEN 1 THEN 'Erik von Berg' WHEN 2 THEN 'Eva Lind' WHEN 3 THEN 'Maria Holm' END AS ceo, 2024 AS fiscal_year FROM (SELECT c_custkey, CAST(10000 + c_custkey * 7 % 80000 AS DOUBLE) AS r, CAST(900 + c_custkey % 1000 AS DOUBLE) AS p FROM customer) c""")
 def report_fields(spark, d):
     """The assembled extraction over rendered reports; the database knows what they were made from."""
-    # The table they are rendered from may be one file of few rows; the reports are what weighs.
-    rendered = surrogate.frame(spark, d, REPORTS).repartition(spark.sparkContext.defaultParallelism)
-    return report.extract_reports(rendered, 2024).drop("notes")
+    # The table they are rendered from may be one file of short rows; the reports are what weighs.
+    return report.extract_reports(surrogate.frame(spark, d, REPORTS, dealt=True), 2024).drop("notes")
 
 
 @query("SELECT c_custkey AS doc_id, CASE WHEN c_custkey % 4 IN (0, 1, 2) THEN 1 ELSE 0 END AS n_sections, c_custkey % 4 = 1 AS parent, CASE WHEN c_custkey % 3 = 0 THEN 1 ELSE 0 END AS n_highlights, true AS in_segment FROM customer")
 def report_sections(spark, d):
-    lines = surrogate.frame(spark, d, REPORTS).select("doc_id", report.report_lines(F.col("text")).alias("lines"))
+    lines = surrogate.frame(spark, d, REPORTS, dealt=True).select("doc_id", report.report_lines(F.col("text")).alias("lines"))
     places = lines.withColumn("places", report.structure(F.col("lines")))
     row = F.get(F.filter("lines", lambda x: x["line"].startswith("Net sales  3 333")), F.lit(0))["no"]
     first = F.get("places.sections", F.lit(0))
