@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from loomspark.functions.rounding import let
+from loomspark.functions.rounding import let, may_match
 
 # Factors to millions of SEK.
 FACTORS = {"msek": 1.0, "bsek": 1000.0, "ksek": 0.001, "sek": 0.000001, "eur_m": 11.25, "usd_m": 10.8, "usd_k": 0.0108, "gbp_m": 13.5, "nok_m": 1.0, "dkk_m": 1.55}
@@ -98,11 +98,12 @@ def unit_context(text: Column) -> Column:
     """The unit of the earliest marker, families in their order at a tie. A euro marker early in the text yields to an explicit SEK statement further on."""
 
     def earliest(low: Column) -> Column:
-        at = lambda p: F.nullif(F.regexp_instr(low, F.lit(ascii_words(p))), F.lit(0))
+        at = lambda p: F.nullif(F.when(may_match(low, p), F.regexp_instr(low, F.lit(ascii_words(p)))).otherwise(0), F.lit(0))
         marks = F.array(*(F.struct(at(p).alias("at"), F.lit(i).alias("order"), F.lit(unit).alias("unit")) for i, (unit, p) in enumerate(UNIT_MARKERS)))
-        both = F.struct(F.array_min(F.filter(marks, lambda m: m["at"].isNotNull())).alias("best"), at(EXPLICIT_SEK).alias("sek"))
-        later = lambda b: (b["best"]["unit"] == "eur_m") & (b["best"]["at"] <= EARLY_EURO) & (b["sek"] > b["best"]["at"]) & (b["sek"] <= LATE_SEK)
-        return let(both, lambda b: F.when(F.coalesce(later(b), F.lit(False)), "msek").otherwise(b["best"]["unit"]))
+        best = F.array_min(F.filter(marks, lambda m: m["at"].isNotNull()))
+        # Only after a euro marker is the statement looked for.
+        later = lambda b: let(at(EXPLICIT_SEK), lambda sek: (sek > b["at"]) & (sek <= LATE_SEK))
+        return let(best, lambda b: F.when((b["unit"] == "eur_m") & (b["at"] <= EARLY_EURO), F.when(F.coalesce(later(b), F.lit(False)), "msek").otherwise(b["unit"])).otherwise(b["unit"]))
 
     return let(F.lower(text), earliest)
 

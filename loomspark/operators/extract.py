@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomspark.functions import numbers as num
-from loomspark.functions.rounding import let, round_half_up
+from loomspark.functions.rounding import let, may_match, round_half_up
 
 # Labels in order of rank, by type and field.
 LABELS: dict[str, dict[str, list[str]]] = {
@@ -93,8 +93,13 @@ def labels_of(kind: Column, lists: dict[str, list[str]], other: list[str]) -> tu
     return case.otherwise(ranked_labels(other)), "|".join(dict.fromkeys(x for labels in (*lists.values(), other) for x in labels))
 
 
+def labelled_lines(lines: Column, labels: list[str]) -> Column:
+    """The lines that hold one of the labels or more; a report has few."""
+    return F.filter(lines, lambda x: let(F.lower(x["line"]), lambda low: may_match(low, "|".join(labels))))
+
+
 def label_hits(lines: Column, labels: list[str] | tuple[Column, str], passes: tuple[tuple[int, int], ...] = ((150, 60), (500, 200)), excluded: tuple[str, ...] = EXCLUDED) -> Column:
-    """All (pass, rank, line, position after the label), sorted: the first usable one wins."""
+    """All (pass, rank, line, position after the label), sorted: the first usable one wins. Of the passes that a labelled line fits the first one counts, since a later one can't win over it."""
     before = "(" + "|".join(x.strip() for x in excluded) + r")\s*$"
     # Labels and passes are arrays of constants, so the plan doesn't grow with them.
     ranked, words = labels if isinstance(labels, tuple) else (ranked_labels(labels), "|".join(labels))
@@ -106,7 +111,7 @@ def label_hits(lines: Column, labels: list[str] | tuple[Column, str], passes: tu
 
             def within(at: Column) -> Column:
                 free = (at > 0) & ~F.substring(x["low"], F.lit(1), at - 1).rlike(before)
-                fits = F.filter(limits, lambda p: free & (x["n"] <= p["longest"]) & (at <= p["offset"] + 1))
+                fits = F.slice(F.filter(limits, lambda p: free & (x["n"] <= p["longest"]) & (at <= p["offset"] + 1)), 1, 1)
                 return F.transform(fits, lambda p: F.struct(p["pass_no"].alias("pass_no"), label["rank"].alias("rank"), x["no"].alias("no"), (at + F.length(label["label"])).alias("after"), label["label"].alias("label")))
 
             return let(at, within)
@@ -114,7 +119,7 @@ def label_hits(lines: Column, labels: list[str] | tuple[Column, str], passes: tu
         return F.flatten(F.transform(ranked, hits))
 
     # Lines without any label are left out before the labels are told apart.
-    some = F.filter(F.transform(lines, lambda x: F.struct(F.lower(x["line"]).alias("low"), F.length(x["line"]).alias("n"), x["no"].alias("no"))), lambda x: x["low"].rlike(words))
+    some = F.filter(F.transform(lines, lambda x: F.struct(F.lower(x["line"]).alias("low"), F.length(x["line"]).alias("n"), x["no"].alias("no"))), lambda x: may_match(x["low"], words))
     return F.array_sort(F.flatten(F.transform(some, of)))
 
 

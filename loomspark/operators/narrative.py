@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from loomspark.functions.rounding import round_half_up
+from loomspark.functions.rounding import folded, let, may_match, round_half_up
 
 # Wording around a figure that makes it another one, and the wording of figures in order; the figure is the group.
 BAD_CONTEXT = r"since\s+\d{4}|by\s+20\d{2}|over\s+the\s+(past|last)|cumulative|divested|spun\s+off|acquired|combined|target|ambition|goal|increase\b.*\bto\b"
@@ -44,28 +44,38 @@ EMPLOYEES = (
 )
 
 
-def _revenue(text: Column, pattern: str, low: float, high: float, factor: float) -> Column:
+def _with_folds(text: Column, body) -> Column:
+    """``body`` of a text with its folded form, null as empty."""
+    t = F.coalesce(text, F.lit(""))
+    return let(F.struct(t.alias("text"), folded(t).alias("folds")), body)
+
+
+def _revenue(text: Column, folds: Column, pattern: str, low: float, high: float, factor: float) -> Column:
     """The first figure of a wording that lies in the range and whose surroundings, 80 characters before it and 40 after, don't tell of another."""
     around = rf"(?is)(?<=(.{{80}}|\A.{{0,79}}))({pattern})(?=(.{{0,40}}))"
     groups = [F.regexp_extract_all(text, F.lit(around), F.lit(g)) for g in (1, 2, 3, 4)]
     hits = F.arrays_zip(*(g.alias(n) for g, n in zip(groups, ("before", "own", "figure", "after"), strict=True)))
     calm = F.filter(hits, lambda h: ~F.concat(h["before"], h["own"], h["after"]).rlike("(?i)" + BAD_CONTEXT))
     values = F.transform(calm, lambda h: F.regexp_extract(F.replace(h["figure"], F.lit(","), F.lit("")), r"^\d+(?:\.\d+)?", 0).cast("double"))
-    # Looking back is dear, so the wording is looked for alone first.
-    return F.when(text.rlike("(?is)" + pattern), round_half_up(F.get(F.filter(values, lambda v: v.between(low, high)), F.lit(0)) * factor))
+    # Looking back is dear, so the wording is looked for alone first, and its literals before it.
+    return F.when(may_match(folds, pattern) & text.rlike("(?is)" + pattern), round_half_up(F.get(F.filter(values, lambda v: v.between(low, high)), F.lit(0)) * factor))
 
 
 def narrative_revenue(text: Column) -> Column:
     """Revenue in millions as the first wording that has a plausible one states it: billions of sales, of revenue, then millions."""
-    text = F.coalesce(text, F.lit(""))
-    billions = [_revenue(text, p, 1, 2_000, 1_000) for p in REVENUE_BILLIONS]
-    millions = [_revenue(text, p, 1_000, 5_000_000, 1) for p in REVENUE_MILLIONS]
-    return F.coalesce(*billions, *millions)
+
+    def first(t: Column) -> Column:
+        billions = [_revenue(t["text"], t["folds"], p, 1, 2_000, 1_000) for p in REVENUE_BILLIONS]
+        millions = [_revenue(t["text"], t["folds"], p, 1_000, 5_000_000, 1) for p in REVENUE_MILLIONS]
+        return F.coalesce(*billions, *millions)
+
+    return _with_folds(text, first)
 
 
 def narrative_employees(text: Column) -> Column:
     """The largest headcount between 50 and 700,000 that any wording states."""
-    text = F.coalesce(text, F.lit(""))
-    found = F.flatten(F.array(*(F.regexp_extract_all(text, F.lit("(?i)" + p), F.lit(1)) for p in EMPLOYEES)))
+    none = F.array().cast("array<string>")
+    stated = lambda t, p: F.when(may_match(t["folds"], p), F.regexp_extract_all(t["text"], F.lit("(?i)" + p), F.lit(1))).otherwise(none)
+    found = _with_folds(text, lambda t: F.flatten(F.array(*(stated(t, p) for p in EMPLOYEES))))
     values = F.transform(found, lambda v: F.regexp_replace(v, r"[,\s ]", "").cast("double"))
     return F.array_max(F.filter(values, lambda v: v.between(50, 700_000)))

@@ -127,8 +127,9 @@ def in_segment(places: Column, no: Column) -> Column:
     return F.coalesce(F.try_element_at(near, F.lit(-1))["segment"], F.lit(False))
 
 
-def find_figure(lines: Column, places: Column, labels: list[str] | tuple[Column, str], year: str | None = None, excluded: tuple[str, ...] = ex.EXCLUDED, skipped: str | None = None) -> Column:
-    """``struct<context, section, pass_no, rank, no, value, label>`` of a labelled figure: in statements in their order, then on pages of key figures (30 lines), then elsewhere but in segments. Lines that match ``skipped`` are no table's."""
+def find_figure(lines: Column, places: Column, labels: list[str] | tuple[Column, str], year: str | None = None, excluded: tuple[str, ...] = ex.EXCLUDED, skipped: str | None = None, labelled: Column | None = None) -> Column:
+    """``struct<context, section, pass_no, rank, no, value, label>`` of a labelled figure: in statements in their order, then on pages of key figures (30 lines), then elsewhere but in segments. Lines that match ``skipped`` are no table's.
+    ``labelled`` are the lines that hold a label, if they are known."""
 
     def value(hit: Column) -> Column:
         line = F.get(lines, hit["no"])["line"]
@@ -147,12 +148,13 @@ def find_figure(lines: Column, places: Column, labels: list[str] | tuple[Column,
         key = lambda c, k: F.struct(F.lit(c).alias("context"), k.cast("int").alias("section"), f["pass_no"].alias("pass_no"), f["rank"].alias("rank"), no.alias("no"), f["value"].alias("value"), f["label"].alias("label"))
         return F.when((section > 0) & ~(f["ghost"] & segment), key(0, section)).when(highlight > 0, key(1, highlight)).when(~segment, key(2, F.lit(0)))
 
-    rows = F.filter(lines, lambda x: ~matches(x["line"], skipped)) if skipped else lines
+    found = lines if labelled is None else labelled
+    rows = F.filter(found, lambda x: ~matches(x["line"], skipped)) if skipped else found
     hits = F.filter(F.transform(ex.label_hits(rows, labels, excluded=excluded), value), lambda f: f["value"].isNotNull())
     return F.array_min(F.array_compact(F.transform(hits, place)))
 
 
-def second_pass_ebit(lines: Column, places: Column, kind: Column, labels: list[str] | tuple[Column, str], revenue: Column, unit: Column, year: str | None = None) -> Column:
+def second_pass_ebit(lines: Column, places: Column, kind: Column, labels: list[str] | tuple[Column, str], revenue: Column, unit: Column, year: str | None = None, labelled: Column | None = None) -> Column:
     """Operating profit of the longest statement that has an acceptable one: no fused years, no segment, and not beyond revenue: 1.05 times; for banks 1.35 times and 20,000 more, for landlords
     three times. Investment companies have none."""
 
@@ -163,7 +165,7 @@ def second_pass_ebit(lines: Column, places: Column, kind: Column, labels: list[s
             s = F.get(F.filter(places["sections"], lambda s: (s["first"] <= hit["no"]) & (hit["no"] < s["stop"])), F.lit(0))
             return F.struct((s["first"] - s["stop"]).alias("span"), s["first"].alias("first"), F.lit(rank).alias("list"), hit["pass_no"].alias("pass_no"), hit["rank"].alias("rank"), hit["no"].alias("no"), v.alias("value"))
 
-        return F.filter(F.transform(ex.label_hits(lines, labels, excluded=excluded), value), lambda f: f["span"].isNotNull() & f["value"].isNotNull())
+        return F.filter(F.transform(ex.label_hits(lines if labelled is None else labelled, labels, excluded=excluded), value), lambda f: f["span"].isNotNull() & f["value"].isNotNull())
 
     known = F.coalesce(revenue > 0, F.lit(False))
 
@@ -225,18 +227,21 @@ def chief_names(lines: Column, labels: list[str] = ex.CEO_LABELS) -> Column:
 
     ranked = F.array(*(F.struct(F.lit(x).alias("label"), F.lit(r).alias("rank")) for r, x in enumerate(labels)))
 
-    def labelled(label: Column) -> Column:
-        here = F.filter(lines, lambda x: F.lower(x["line"]).contains(label["label"]))
+    def labelled(label: Column, titled: Column, managed: Column) -> Column:
+        here = F.filter(titled, lambda x: x["low"].contains(label["label"]))
 
         def windows(x: Column) -> Column:
             parts = F.transform(managed, lambda m: (x["no"] >= m - 2) & (x["no"] < m + 40))
             section = F.array_position(parts, True).cast("int")
-            hit = lambda w, s: F.struct(F.lit(w).alias("window"), s.alias("section"), label["rank"].alias("rank"), x["no"].alias("no"), x["line"].alias("line"), F.instr(F.lower(x["line"]), label["label"]).alias("at"), F.length(label["label"]).alias("n"))
+            hit = lambda w, s: F.struct(F.lit(w).alias("window"), s.alias("section"), label["rank"].alias("rank"), x["no"].alias("no"), x["line"].alias("line"), F.instr(x["low"], label["label"]).alias("at"), F.length(label["label"]).alias("n"))
             return F.array_compact(F.array(F.when(x["no"] < LETTER, hit(0, F.lit(0))), F.when(section > 0, hit(1, section))))
 
         return F.flatten(F.transform(here, windows))
 
-    hits = F.array_sort(F.flatten(F.transform(ranked, labelled)))
+    # Both are bound: inside the loops over labels and hits they would be found anew for each.
+    lower = F.transform(ex.labelled_lines(lines, labels), lambda x: F.struct(x["no"].alias("no"), x["line"].alias("line"), F.lower(x["line"]).alias("low")))
+    places = F.struct(lower.alias("titled"), managed.alias("managed"))
+    hits = F.array_sort(let(places, lambda p: F.flatten(F.transform(ranked, lambda label: labelled(label, p["titled"], p["managed"])))))
     return F.flatten(F.transform(hits, names))
 
 
@@ -260,31 +265,33 @@ def extract_reports(docs: DataFrame, year: int, id_col: str = "doc_id", text_col
     """
     base = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(company).alias("company"), texts.vote_type(F.col(text_col), hint=F.col(hint) if hint else None).alias("company_type"))
     base = base.withColumns({"lines": report_lines(F.col("text")), "unit": num.unit_context(F.col("text"))})
-    base = base.withColumn("places", structure(F.col("lines")))
-    wanted, lines, places, unit, kind = str(year), F.col("lines"), F.col("places"), F.col("unit"), F.col("company_type")
+    # Lines without a label of any figure are passed over once, not once a figure.
+    words = [x for fields in ex.LABELS.values() for labels in fields.values() for x in labels] + ex.EMPLOYEES
+    base = base.withColumns({"places": structure(F.col("lines")), "labelled": ex.labelled_lines(F.col("lines"), words)})
+    wanted, lines, places, unit, kind, some = str(year), F.col("lines"), F.col("places"), F.col("unit"), F.col("company_type"), F.col("labelled")
     industrial, own = ex.LABELS["industrial"], {k: v for k, v in ex.LABELS.items() if k != "industrial"}
     of_kind = lambda field: ex.labels_of(kind, {k: v[field] for k, v in own.items()}, industrial[field])
-    plain = lambda field: find_figure(lines, places, industrial[field], wanted, ("never before",))
+    plain = lambda field: find_figure(lines, places, industrial[field], wanted, ("never before",), labelled=some)
     rows = base.withColumns(
         {
-            "revenue_f": find_figure(lines, places, of_kind("revenue"), wanted, skipped=IN_WORDS),
-            "direct_f": find_figure(lines, places, of_kind("ebit"), wanted),
+            "revenue_f": find_figure(lines, places, of_kind("revenue"), wanted, skipped=IN_WORDS, labelled=some),
+            "direct_f": find_figure(lines, places, of_kind("ebit"), wanted, labelled=some),
             "adjusted_f": plain("adjusted"),
             "ebita_f": plain("ebita"),
             "amort_f": plain("amortisation"),
-            "margin": ex.margin_percent(lines),
-            "employees_f": find_figure(lines, places, ex.EMPLOYEES, wanted),
+            "margin": ex.margin_percent(some),
+            "employees_f": find_figure(lines, places, ex.EMPLOYEES, wanted, labelled=some),
             "ceo": chief_executive(lines, F.col("company")),
         }
     )
     # A type's own labels everywhere before the common ones anywhere.
-    rows = rows.withColumn("revenue_f", F.coalesce("revenue_f", F.when(kind.isin(*own), find_figure(lines, places, industrial["revenue"], wanted, skipped=IN_WORDS))))
+    rows = rows.withColumn("revenue_f", F.coalesce("revenue_f", F.when(kind.isin(*own), find_figure(lines, places, industrial["revenue"], wanted, skipped=IN_WORDS, labelled=some))))
     table = num.to_msek(F.col("revenue_f.value"), unit)
     headcount = F.col("employees_f.value")
     people = F.when(headcount.between(1, 1_000_000) & ~headcount.between(2000, 2035), headcount)
     rows = rows.withColumns({"revenue": F.coalesce(table, narrative_revenue(F.col("text"))), "employees": F.coalesce(people, narrative_employees(F.col("text")))})
     revenue = F.col("revenue")
-    rows = rows.withColumn("second", second_pass_ebit(lines, places, kind, of_kind("ebit"), revenue, unit, wanted))
+    rows = rows.withColumn("second", second_pass_ebit(lines, places, kind, of_kind("ebit"), revenue, unit, wanted, some))
     near = F.abs(F.col("amort_f.no") - F.col("ebita_f.no")) <= 15
     amort = F.abs("amort_f.value")
     ebita = F.when(near & (amort > 0) & (amort < 2 * F.abs("ebita_f.value")), F.col("ebita_f.value") - amort).otherwise(F.col("ebita_f.value"))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from loomspark.functions.rounding import matches, needles
 from loomspark.operators import discovery, rank, report, scanners
+from loomspark.operators import extract as ex
 
 SF = "/root/testdata/sf0.001"
 
@@ -57,3 +58,9 @@ def test_a_reports_places_are_found_once(spark):
     plan = places.select(F.size("p.sections"), F.get("p.sections", F.lit(0))["first"], F.size("p.marks"), F.size("p.highlights"))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("segmentinformation") == 1
     assert places.select("p.*").first()[0][0].asDict() == {"first": 0, "stop": 6, "parent": False}
+
+
+def test_a_labelled_line_is_read_once(spark):
+    lines = report.report_lines(F.lit("Net sales  100  90\nother"))
+    assert [h["pass_no"] for h in spark.range(1).select(ex.label_hits(lines, ["net sales"]).alias("h")).first()["h"]] == [0]
+    assert [x["no"] for x in spark.range(1).select(ex.labelled_lines(lines, ["net sales", "ebit"]).alias("h")).first()["h"]] == [0]
