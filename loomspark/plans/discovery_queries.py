@@ -25,8 +25,8 @@ _R = surrogate.text(RENDERED).replace("AS STRING", "AS VARCHAR")
 
 
 def rendered(spark: SparkSession, d: str) -> DataFrame:
-    # The part table alone is read.
-    return surrogate.frame(spark, d, RENDERED)
+    # The part table alone is read; its rows are short, the pages are what weighs.
+    return surrogate.frame(spark, d, RENDERED, dealt=True)
 
 
 _FOUND = f"""SELECT page_id, 0 AS ord, 'anchor' AS kind, concat(origin, '/docs/', rtrim(tail, '/')) AS url, text, heading, html, concat(origin, '/docs/', rtrim(tail, '/'), ' ', text) AS hay FROM ({_R}) r
