@@ -10,7 +10,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomspark.functions.rounding import matches
+from loomspark.functions.rounding import folded, let, matches
 
 Rules = tuple[tuple[str, int], ...]
 
@@ -92,8 +92,9 @@ CLASS_OTHER = (
 
 
 def rule_points(text: Column, rules: Rules) -> Column:
-    """The sum of the points of the patterns that the text matches."""
-    return sum((F.when(matches(text, p), n).otherwise(0) for p, n in rules), F.lit(0))
+    """The sum of the points of the patterns that the text matches. The folded text is named alike in each rule, so it is computed once."""
+    low = folded(F.coalesce(text, F.lit("")))
+    return sum((F.when(matches(text, p, low), n).otherwise(0) for p, n in rules), F.lit(0))
 
 
 def latest_year(text: Column) -> Column:
@@ -104,7 +105,7 @@ def latest_year(text: Column) -> Column:
 def year_points(year: Column, as_of_year: int) -> Column:
     """+50 for this year and the last, +20 for the one before, nothing for exactly two years before the last, -30 for older."""
     last = as_of_year - 1
-    return F.when(year.isNull(), 0).when(year.isin(last, as_of_year), 50).when(year == last - 1, 20).when(last - year > 2, -30).otherwise(0)
+    return let(year, lambda y: F.when(y.isNull(), 0).when(y.isin(last, as_of_year), 50).when(y == last - 1, 20).when(last - y > 2, -30).otherwise(0))
 
 
 def stale(url: Column, text: Column, as_of_year: int) -> Column:
@@ -121,7 +122,7 @@ def stale(url: Column, text: Column, as_of_year: int) -> Column:
     dashed = F.transform(F.regexp_extract_all(hay, F.lit(r"\b\d{2}[-_](\d{2})\b"), F.lit(1)), full)
     fused = F.filter(F.regexp_extract_all(hay, F.lit(r"\b(\d{4})\b"), F.lit(1)), lambda t: ~t.rlike(r"^20") & (F.substring(t, 3, 2).cast("int") == (F.substring(t, 1, 2).cast("int") + 1) % 100))
     ends = F.concat(dashed, F.transform(fused, lambda t: full(F.substring(t, 3, 2))))
-    return F.when(F.size(years) > 0, F.exists(years, lambda y: y < cutoff)).otherwise(F.exists(ends, lambda y: y < cutoff))
+    return let(years, lambda found: F.when(F.size(found) > 0, F.exists(found, lambda y: y < cutoff)).otherwise(F.exists(ends, lambda y: y < cutoff)))
 
 
 def report_class(text: Column, url: Column) -> Column:

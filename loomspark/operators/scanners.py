@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from loomspark.functions.rounding import matches
+from loomspark.functions.rounding import let, matches
 from loomspark.operators.rank import Rules, rule_points
 
 NOT_PDF = -999
@@ -81,7 +81,7 @@ def first_year(text: Column) -> Column:
 def recency(year: Column, as_of_year: int) -> Column:
     """+5 for this year and the last, +2 for the one before, then 5 less for each year beyond two."""
     last = as_of_year - 1
-    return F.when(year.isin(last, as_of_year), 5).when(year == last - 1, 2).when(year < last - 2, (year - last + 2) * 5).otherwise(0)
+    return let(year, lambda y: F.when(y.isin(last, as_of_year), 5).when(y == last - 1, 2).when(y < last - 2, (y - last + 2) * 5).otherwise(0))
 
 
 def _lone_sustainability(text: Column, annual: str = "annual|årsredovisning") -> Column:
