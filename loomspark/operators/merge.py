@@ -66,10 +66,26 @@ def dedupe_max(rows: DataFrame, key: list[str], score: str, order: str) -> DataF
     return rows.groupBy(*key).agg(F.max_by(F.struct(*kept), F.struct(F.col(score), -F.col(order))).alias("row")).select(*key, "row.*")
 
 
+_WHOLE = ("tinyint", "smallint", "int", "bigint")
+#: Types whose values a hash aggregate can replace in place.
+_FIXED = (*_WHOLE, "boolean", "float", "double", "date", "timestamp")
+
+
 def union_first(parts: list[DataFrame], key: list[str], order: str) -> DataFrame:
-    """Union in which a key's first part wins, then the first row."""
-    tagged = [p.withColumn("_part", F.lit(i)) for i, p in enumerate(parts)]
-    return dedupe_first(reduce(DataFrame.unionByName, tagged), key, ["_part", order]).drop("_part")
+    """Union in which a key's first part wins, then the first row.
+
+    Where the columns besides the key have values of fixed size and the order is a whole number, part and order become one number and the first row is kept by hash: a task holds a row a key. Otherwise the rows are sorted by key.
+    """
+    rows = reduce(DataFrame.unionByName, [p.withColumn("_part", F.lit(i)) for i, p in enumerate(parts)])
+    types = dict(rows.dtypes)
+    kept = [c for c in rows.columns if c not in key and c != "_part"]
+    if types[order] not in _WHOLE or any(types[c] not in _FIXED for c in kept):
+        return dedupe_first(rows, key, ["_part", order]).drop("_part")
+    # A part's numbers lie above all of the part before it; null orders come first in theirs.
+    number = F.coalesce(F.col(order).cast("decimal(20,0)"), F.lit(str(-(2**63) - 1)).cast("decimal(20,0)"))
+    place = (F.col("_part").cast("decimal(10,0)") * F.lit(str(2**65)).cast("decimal(20,0)") + number).cast("decimal(38,0)")
+    first = rows.withColumn("_place", place).groupBy(*key).agg(*(F.min_by(c, "_place").alias(c) for c in kept))
+    return first.select(*parts[0].columns)
 
 
 def except_known(rows: DataFrame, known: DataFrame, key: str) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from loomspark.functions.rounding import matches, needles
-from loomspark.operators import discovery, rank, report, scanners
+from loomspark.operators import discovery, merge, rank, report, scanners
 from loomspark.operators import extract as ex
 
 SF = "/root/testdata/sf0.001"
@@ -64,3 +64,22 @@ def test_a_labelled_line_is_read_once(spark):
     lines = report.report_lines(F.lit("Net sales  100  90\nother"))
     assert [h["pass_no"] for h in spark.range(1).select(ex.label_hits(lines, ["net sales"]).alias("h")).first()["h"]] == [0]
     assert [x["no"] for x in spark.range(1).select(ex.labelled_lines(lines, ["net sales", "ebit"]).alias("h")).first()["h"]] == [0]
+
+
+def test_union_first_keeps_a_row_a_key_by_hash(spark):
+    big, small = 2**63 - 1, -(2**63)
+    one = spark.createDataFrame([("a", 5, 1), ("a", None, 2), ("b", big, 3), (None, 1, 4)], "k string, o long, v int")
+    two = spark.createDataFrame([("b", small, 5), ("c", 2, 6), ("c", small, 7), ("c", 3, 8), (None, None, 9)], "k string, o long, v int")
+    found = merge.union_first([one, two], ["k"], "o")
+    assert "SortAggregate" not in found._jdf.queryExecution().executedPlan().toString()
+    assert {r["k"]: (r["o"], r["v"]) for r in found.collect()} == {"a": (None, 2), "b": (big, 3), None: (1, 4), "c": (small, 7)}
+    assert found.columns == ["k", "o", "v"]
+    # Texts beside the key go by the sorted way, with the same rows.
+    texts = merge.union_first([p.withColumn("v", F.col("v").cast("string")) for p in (one, two)], ["k"], "o")
+    assert {r["k"]: r["v"] for r in texts.collect()} == {"a": "2", "b": "3", None: "4", "c": "7"}
+
+
+@pytest.mark.parametrize("name", ["page_scan", "page_candidates", "page_reports", "followed_pages"])
+def test_the_first_stage_is_dealt_out(spark, tmp_path, name):
+    plan = entry.queries()[name](spark, tables(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert f"RoundRobinPartitioning({4 * spark.sparkContext.defaultParallelism})" in plan
