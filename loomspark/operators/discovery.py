@@ -209,18 +209,32 @@ def investor_page_wording(url: Column, title: Column) -> Column:
     return matches(both, "investor.?relations|investerare") | matches(url, r"/investors?\b") | (matches(both, "annual.report") & ~matches(url, r"\.pdf"))
 
 
+#: The ways to an investor page, the first one first.
+TIERS = ("homepage", "paths", "sitemap")
+
+
 def investor_tiers(links: DataFrame, homepage: str, paths: DataFrame, sitemap: DataFrame, fetches: DataFrame, as_of_year: int, key: str = "company_id") -> DataFrame:
     """``key, url, tier, score``: the first address that holds, homepage links of 3 points or more by points, then usual paths, then the sitemap.
 
     ``links`` has key, url, text, ord; ``paths`` and ``sitemap`` have key, url, ord; ``fetches`` (url, body, status) answers whether an address is an investor page.
     """
-    home = links.where(urls.same_site(F.col(homepage), F.col("url"))).select(key, "url", F.lit("homepage").alias("tier"), ir_points(F.col("text"), F.col("url")).alias("score"), "ord").where("score >= 3")
-    usual = paths.select(key, "url", F.lit("paths").alias("tier"), F.greatest(F.lit(5), ir_points(F.lit("investors"), F.col("url"))).alias("score"), "ord")
-    maps = sitemap.select(key, "url", F.lit("sitemap").alias("tier"), F.lit(0).alias("score"), "ord")
-    good = fetches.where((F.col("status") == 200) & investor_page_valid(F.col("body"), as_of_year)).select("url").distinct()
-    tried = home.unionByName(usual).unionByName(maps).join(good, "url", "left_semi")
-    tier = F.element_at(F.create_map(*(F.lit(x) for x in ("homepage", 0, "paths", 1, "sitemap", 2))), F.col("tier"))
-    return tried.groupBy(key).agg(F.min_by(F.struct("url", "tier", "score"), F.struct(tier, -F.col("score"), "ord")).alias("b")).select(key, "b.*")
+    place = lambda n: F.lit(n).alias("_tier")
+    home = links.where(urls.same_site(F.col(homepage), F.col("url"))).select(key, "url", place(0), ir_points(F.col("text"), F.col("url")).alias("score"), "ord").where("score >= 3")
+    usual = paths.select(key, "url", place(1), F.greatest(F.lit(5), ir_points(F.lit("investors"), F.col("url"))).alias("score"), "ord")
+    maps = sitemap.select(key, "url", place(2), F.lit(0).alias("score"), "ord")
+    spark = fetches.sparkSession
+    # By number, since a few megabytes of short rows that compress well would become one task, whatever they weigh in memory.
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+    # An address that was fetched very often is dealt out by salt and leaves one row of each.
+    good = fetches.where((F.col("status") == 200) & F.isnotnull("url") & investor_page_valid(F.col("body"), as_of_year)).select("url", F.pmod(F.monotonically_increasing_id(), F.lit(16)).alias("_salt"))
+    good = good.repartition(parts, "url", "_salt").distinct().select("url", F.lit(True).alias("_good"))
+    # Addresses and answers meet in one sort. A semi-join would be pushed below the union, and a task would sort and hash for all its joins at a time.
+    tries = home.unionByName(usual).unionByName(maps).where("url IS NOT NULL")
+    rows = tries.unionByName(good, allowMissingColumns=True).repartition(parts, "url")
+    holds = F.max("_good").over(Window.partitionBy("url"))
+    tried = rows.withColumn("_holds", holds).where("_holds AND _tier IS NOT NULL")
+    best = tried.groupBy(key).agg(F.min(F.struct("_tier", (-F.col("score")).alias("_less"), "ord", "url")).alias("b"))
+    return best.select(key, "b.url", F.get(F.array(*map(F.lit, TIERS)), F.col("b._tier")).alias("tier"), (-F.col("b._less")).alias("score"))
 
 
 def hub_addresses(companies: DataFrame, fetches: DataFrame, most: int = 8) -> DataFrame:

@@ -83,3 +83,34 @@ def test_union_first_keeps_a_row_a_key_by_hash(spark):
 def test_the_first_stage_is_dealt_out(spark, tmp_path, name):
     plan = entry.queries()[name](spark, tables(tmp_path))._jdf.queryExecution().executedPlan().toString()
     assert f"RoundRobinPartitioning({4 * spark.sparkContext.defaultParallelism})" in plan
+
+
+def test_addresses_and_answers_meet_in_one_sort(spark, tmp_path):
+    plan = entry.queries()["investor_page"](spark, tables(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    # One sort by address and two by company; a join below the union sorts for each of its branches in the same task.
+    assert "Join" not in plan and len(re.findall(r"[ -]Sort \[", plan)) == 3
+    assert {int(n) for n in re.findall(r"hashpartitioning\(url#\d+, (\d+)\), REPARTITION_BY_NUM", plan)} == {4 * spark.sparkContext.defaultParallelism}
+
+
+def test_investor_tiers_of_odd_rows(spark):
+    rng = random.Random(7)
+    # A site is shared by companies; the log holds misses, repeats, an address many times and one that is null.
+    site = lambda k: f"https://s{k % 5}.example"
+    texts = {"Investor relations": 10 + 6, "Investors": 8 + 6, "Contact": -5, None: 0}
+    links = [(k, site(k), rng.choice([f"{site(k)}/l{rng.randrange(4)}", "https://other.example/l0", None]), rng.choice(list(texts)), n) for k in range(20) for n in range(4)]
+    paths = [(k, rng.choice([f"{site(k)}/p{n}", None]), n) for k in range(20) for n in range(2)]
+    maps = [(k, f"{site(k)}/m", 0) for k in range(25)]
+    log = [(f"https://s{i}.example/{p}", rng.choice(["Annual report", "nothing", "in 2025", None]), rng.choice([200, 200, 404])) for i in range(5) for p in ("l0", "l1", "p0", "p1", "m") for _ in range(2)]
+    log += [(None, "annual report", 200)] + [("https://s0.example/m", "annual report", 200)] * 5000
+    good = {u for u, body, status in log if u and status == 200 and body in ("Annual report", "annual report", "in 2025")}
+    tried = [(k, 0, -texts[t], n, u) for k, home, u, t, n in links if u and u.startswith(home) and texts[t] >= 3] + [(k, 1, -max(5, 14), n, u) for k, u, n in paths if u] + [(k, 2, 0, n, u) for k, u, n in maps]
+    want = {}
+    for k, *x in tried:
+        if x[-1] in good:
+            want[k] = min(want.get(k, x), x)
+    frames = [spark.createDataFrame(r, s) for r, s in ((links, "company_id int, home string, url string, text string, ord int"), (paths, "company_id int, url string, ord int"), (maps, "company_id int, url string, ord int"), (log, "url string, body string, status int"))]
+    got = discovery.investor_tiers(frames[0], "home", *frames[1:], 2025)
+    assert got.columns == ["company_id", "url", "tier", "score"]
+    rows = got.collect()
+    assert len(rows) == len(want) and {r["company_id"]: (discovery.TIERS.index(r["tier"]), -r["score"], r["url"]) for r in rows} == {k: (t, s, u) for k, (t, s, _, u) in want.items()}
+    assert {t for t, *_ in want.values()} == {0, 1, 2}
